@@ -72,13 +72,13 @@ def band_extension(mask: DataFrame, t_end: float, t: str = "t") -> DataFrame:
 
 
 def track_segments(
-    points: DataFrame, dn: int, track: list[str] | None = None,
+    points: DataFrame, dn: int, track: list[str] | None = None, min_fill: float = 0.9,
 ) -> DataFrame:
     """Choose one cycle for each overlapping segment of a track.
 
     Centres lie every dn / 2 reference points from half that past the first point, up to the
     last; members are within 1.5 dn. Each (reference point, cycle) counts once, with its mean
-    height. Segments whose fullest cycle has under 0.9 dn points are skipped; of the cycles
+    height. Segments whose fullest cycle has under min_fill * dn points are skipped; of the cycles
     within 5 of the fullest, the one with the smallest median along-track step is taken.
     """
     track = track or ["rgt", "pair"]
@@ -104,7 +104,7 @@ def track_segments(
     place = [*track, "seg", "pt0"]
     fullest = stats.groupBy(*place).agg(F.max("n").alias("_max"))
     stats = attach(stats, fullest, place).where(
-        (F.col("_max") >= 0.9 * dn) & (F.col("n") >= F.col("_max") - 5)
+        (F.col("_max") >= min_fill * dn) & (F.col("n") >= F.col("_max") - 5)
     )
     order = F.struct(F.col("roughness").isNull(), "roughness", "cycle")
     best = stats.groupBy(*place).agg(F.min_by(F.struct("cycle", "n", "roughness"), order).alias("_b"))
