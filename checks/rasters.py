@@ -125,21 +125,22 @@ def used_bands(spark, d):
 
 @query("composed_mask", "RAS-8 JON-10 JON-13", sql("pts dz grid polys", f"""
 with {INSIDE.replace('5e3', '1e4')}, {BANDS},
-vv as (select distinct 2018+poly_id/20e0 version_t from polys where poly_id < 100 and poly_id % 4 = 3),
+vv as (select distinct 2018+poly_id/20e0 version_t from polys where poly_id % 5 >= 3),
 j as (select u.*, coalesce((select max(version_t) from vv where version_t < u.t), (select min(version_t) from vv)) vt from used u),
-k as (select *, exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id % 4 = 0) a_,
-  exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id % 4 = 1) r_,
-  exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id = 2) n_,
-  exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id < 100 and poly_id % 4 = 3 and 2018+poly_id/20e0 = vt) s_ from j)
+k as (select *, exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id % 5 = 0) a_,
+  exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id % 5 = 1) r_,
+  exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id % 5 = 2) n_,
+  exists(select 1 from inside i where i.ix = j.ix and i.iy = j.iy and poly_id % 5 >= 3 and 2018+poly_id/20e0 = vt) s_ from j)
 select k.ix, k.iy, t, case when g.mask = 1 then
   case when t < 2022.22e0 and s_ then 1 when n_ then 0 when t > 2021.5e0 and r_ then 0 when t < 2023 and a_ then 1 else k.mask end
   else 0 end mask from k left join grid g on g.ix = k.ix and g.iy = k.iy"""))
 def composed_mask(spark, d):
-    p = polys(spark, d)
-    advance = p.where("poly_id < 100 and poly_id % 4 = 3").withColumn("version_t", 2018 + F.col("poly_id") / F.lit(20.0))
+    """Every polygon has one of the roles: add, remove, retreat, and two shares advance."""
+    p = polys(spark, d).withColumns({
+        "role": F.col("poly_id") % 5, "version_t": 2018 + F.col("poly_id") / F.lit(20.0)})
     return masks.compose_mask(
-        bands(spark, d), grid(spark, d), p.where("poly_id % 4 = 0"), p.where("poly_id % 4 = 1"),
-        p.where("poly_id = 2"), advance, 2022.22, 1e4)
+        bands(spark, d), grid(spark, d), p.where("role = 0"), p.where("role = 1"),
+        p.where("role = 2"), p.where("role >= 3"), 2022.22, 1e4)
 
 
 @query("mask_persistence", "AGG-17", sql("pts dz", """
@@ -247,18 +248,18 @@ def browse_limits(spark, d):
 @query("track_segments", "WIN-5", sql("pts", f"""
 with nd as (select rgt, pair, "cycle", ref_pt, avg(z) z from pts group by all),
 e as (select rgt, pair, min(ref_pt) p0, max(ref_pt) p1 from pts group by all),
-g as (select nd.*, s.s seg, p0+50+s.s*50 pt0 from nd join e using (rgt, pair), lateral (select unnest(range(
-   greatest(cast(floor((ref_pt-150-p0-50)/50e0) as bigint)+1, 0),
-   least(cast(ceil((ref_pt+150-p0-50)/50e0) as bigint)-1, cast(ceil((p1-p0-50)/50e0) as bigint)-1)+1)) s) s),
+g as (select nd.*, s.s seg, p0+200+s.s*200 pt0 from nd join e using (rgt, pair), lateral (select unnest(range(
+   greatest(cast(floor((ref_pt-600-p0-200)/200e0) as bigint)+1, 0),
+   least(cast(ceil((ref_pt+600-p0-200)/200e0) as bigint)-1, cast(ceil((p1-p0-200)/200e0) as bigint)-1)+1)) s) s),
 gd as (select *, abs(z-lag(z) over (partition by rgt, pair, seg, "cycle" order by ref_pt)) dd from g),
 st as (select rgt, pair, seg, pt0, "cycle", count(*) n, median(dd) rough from gd group by all),
 mx as (select *, max(n) over (partition by rgt, pair, seg) m from st),
-ok as (select *, row_number() over (partition by rgt, pair, seg order by rough nulls last, "cycle") k from mx where n >= m-5 and m >= 9)
+ok as (select *, row_number() over (partition by rgt, pair, seg order by rough nulls last, "cycle") k from mx where n >= m-5 and m >= 8)
 select rgt, pair, cast(seg as int) seg, cast(pt0 as double) pt0, "cycle", n, {r('rough', 'roughness')} from ok where k = 1"""
     ))
 def track_segments(spark, d):
-    """Segments of 100 points; here a tenth of them is enough."""
-    return rounded(ordered.track_segments(pts(spark, d), 100, min_fill=0.09))
+    """Segments of 400 points; here a fiftieth of them is enough."""
+    return rounded(ordered.track_segments(pts(spark, d), 400, min_fill=0.02))
 
 
 @query("curve_lookup", "WIN-6", sql("pts", f"""

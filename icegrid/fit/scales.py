@@ -75,7 +75,7 @@ def l_curve(points: DataFrame, width: float, scales: tuple[float, ...] = SCALES)
     member = member.withColumn("seg", F.explode(spread)).drop("_p0")
     rows = member.join(chosen, [*TRACK, "seg", "cycle"])
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x, z, s = (pdf[c].to_numpy() for c in ("x_atc", "z", "sigma"))
         found = [_profile(x, z, s, E_CURVATURE * k) for k in scales]
         return pd.DataFrame({
