@@ -52,7 +52,9 @@ def _profile(x: np.ndarray, z: np.ndarray, sigma: np.ndarray, expected: float):
     return spread, int(keep.sum())
 
 
-def l_curve(points: DataFrame, width: float, scales: tuple[float, ...] = SCALES) -> DataFrame:
+def l_curve(
+    points: DataFrame, width: float, scales: tuple[float, ...] = SCALES, min_fill: float = 0.9
+) -> DataFrame:
     """Residual spread of each track segment for each factor on the expected curvature.
 
     points holds rgt, pair, ref_pt, cycle, x_atc, z, sigma. Measurements at one reference
@@ -63,7 +65,7 @@ def l_curve(points: DataFrame, width: float, scales: tuple[float, ...] = SCALES)
     nodes = good.groupBy(*TRACK, "cycle", "ref_pt").agg(
         F.avg("x_atc").alias("x_atc"), F.avg("z").alias("z"), F.avg("sigma").alias("sigma")
     )
-    chosen = track_segments(nodes, dn, TRACK).select(*PLACE, "cycle")
+    chosen = track_segments(nodes, dn, TRACK, min_fill).select(*PLACE, "cycle")
     # members of a segment lie within 1.5 dn of its centre; those of the chosen cycle are fitted
     half = dn / 2
     first = nodes.groupBy(*TRACK).agg(F.min("ref_pt").alias("_p0"))
