@@ -135,8 +135,8 @@ def matched_fit(spark, d):
 
 @query("scale_search", "FIT-12 WIN-5 WIN-6")
 def scale_search(spark, d):
-    """Tracks are suppliers; the points of two thousand places lie 20 m apart along them."""
-    p = pts(spark, d).withColumn("x_atc", F.col("ref_pt") * 20.0)
+    """Places lie 5 m apart along the tracks, which keeps segments of 400 of them short."""
+    p = pts(spark, d).withColumn("x_atc", F.col("ref_pt") * 5.0)
     return best_scale(l_curve(p, 8000.0, min_fill=0.02))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from icegrid.operators.ordered import interp_at, track_segments
 from icegrid.operators.skew import attach
+from icegrid.session import by_group
 
 # Factors tried, expected curvature, gap length, node spacing and strip width.
 SCALES = (0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0)
@@ -26,30 +27,41 @@ def _spread(v: np.ndarray) -> float:
     return (high - low) / 2
 
 
-def _profile(x: np.ndarray, z: np.ndarray, sigma: np.ndarray, expected: float):
-    """Smooth profile through points, edited at three spreads; returns (spread, points kept)."""
-    n = int(np.ceil((x.max() - x.min()) / SPACING)) + 1
+def _roughness(n: int) -> np.ndarray:
+    """Squared curvature and slope of n nodes; divided by the square of the expected curvature
+    it is the constraint."""
+    area = SPACING * STRIP
+    bend = np.diff(np.eye(n), 2, axis=0) / SPACING**2
+    tilt = np.diff(np.eye(n), axis=0) / SPACING / GAP_SCALE
+    return (bend.T @ bend + tilt.T @ tilt) * area
+
+
+def _profiles(x: np.ndarray, z: np.ndarray, sigma: np.ndarray, expected: list[float]):
+    """Smooth profiles through points, one per expected curvature, edited at three spreads.
+
+    Returns the spread of the scaled residuals and the number of points kept for each.
+    """
+    n = max(int(np.ceil((x.max() - x.min()) / SPACING)) + 1, 3)
     u = (x - x.min()) / SPACING
-    i = np.minimum(np.floor(u).astype(int), max(n - 2, 0))
-    f = u - i
+    i = np.minimum(np.floor(u).astype(int), n - 2)
     rows = np.zeros((len(x), n))
-    rows[np.arange(len(x)), i] = 1 - f
-    rows[np.arange(len(x)), np.minimum(i + 1, n - 1)] += f
-    area = np.sqrt(SPACING * STRIP)
-    bend = np.diff(np.eye(n), 2, axis=0) / SPACING**2 * area / expected
-    tilt = np.diff(np.eye(n), axis=0) / SPACING * area / (expected * GAP_SCALE)
-    smooth = bend.T @ bend + tilt.T @ tilt
-    keep = np.ones(len(x), bool)
-    for _ in range(5):
-        a = rows[keep] / sigma[keep, None]
-        m = np.linalg.solve(a.T @ a + smooth + 1e-12 * np.eye(n), a.T @ (z[keep] / sigma[keep]))
-        r = (z - rows @ m) / sigma
-        spread = _spread(r[keep])
-        new = np.abs(r) < 3 * max(spread, 1.0)
-        if (new == keep).mean() > 0.999 or new.sum() < 3:
-            break
-        keep = new
-    return spread, int(keep.sum())
+    rows[np.arange(len(x)), i] = 1 - (u - i)
+    rows[np.arange(len(x)), i + 1] = u - i
+    rough = _roughness(n) + 1e-12 * np.eye(n)
+    out = []
+    for e in expected:
+        keep = np.ones(len(x), bool)
+        for _ in range(5):
+            a = rows[keep] / sigma[keep, None]
+            m = np.linalg.solve(a.T @ a + rough / e**2, a.T @ (z[keep] / sigma[keep]))
+            r = (z - rows @ m) / sigma
+            spread = _spread(r[keep])
+            new = np.abs(r) < 3 * max(spread, 1.0)
+            if (new == keep).mean() > 0.999 or new.sum() < 3:
+                break
+            keep = new
+        out.append((spread, int(keep.sum())))
+    return out
 
 
 def l_curve(
@@ -79,16 +91,17 @@ def l_curve(
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x, z, s = (pdf[c].to_numpy() for c in ("x_atc", "z", "sigma"))
-        found = [_profile(x, z, s, E_CURVATURE * k) for k in scales]
+        expected = [E_CURVATURE * k for k in scales]
+        found = _profiles(x, z, s, expected)
         return pd.DataFrame({
             **dict(zip(PLACE, key)), "scale": scales,
-            "expected": [E_CURVATURE * k for k in scales],
+            "expected": expected,
             "spread": [f[0] for f in found], "n": [f[1] for f in found],
         })
 
     schema = ("rgt int, pair int, seg int, pt0 double, scale double, expected double, "
               "spread double, n int")
-    return rows.groupBy(*PLACE).applyInPandas(one, schema)
+    return by_group(rows, PLACE).groupBy(*PLACE).applyInPandas(one, schema)
 
 
 def best_scale(curve: DataFrame) -> DataFrame:

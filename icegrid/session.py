@@ -51,3 +51,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(_shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def by_group(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows spread by key over all shuffle partitions.
+
+    Groups that cost much time but few bytes would otherwise be merged into few tasks.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
