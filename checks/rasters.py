@@ -211,10 +211,7 @@ select {s} scale_m, cast(floor(ix/{s // 10000}e0) as int) ix, cast(floor(iy/{s /
  {r('sum(cell_area*dz)/nullif(sum(cell_area),0)', 'dz')}, sum(cell_area) cell_area from dz group by all"""
     for s in (10000, 20000, 40000))))
 def block_averages(spark, d):
-    out = None
-    for s in (10000, 20000, 40000):
-        one = aggregate.block_average(dz(spark, d), s, 1e4, ["dz"]).withColumn("scale_m", F.lit(s))
-        out = one if out is None else out.unionByName(one)
+    out = aggregate.block_average(dz(spark, d), (10000, 20000, 40000), 1e4, ["dz"])
     return rounded(out.select("scale_m", "ix", "iy", "it", "dz", "cell_area"))
 
 
@@ -505,11 +502,10 @@ def lineage_coverage(spark, d):
     return aggregate.coverage(rows).join(coded, "end").select("start", "end", "duration", "coded_start")
 
 
-@query("lineage_lists", "AGG-11", f"""
-with {LINEAGE} select string_agg(file, '|' order by file) files, count(*) n from gran""")
-def lineage_lists(spark, d):
-    one = aggregate.lineage_arrays(lineage_of(spark, d), ["short_name", "start_rgt"])
-    return one.select(F.array_join("file", "|").alias("files"), F.size("start_rgt").cast("long").alias("n"))
+@query("lineage_positions", "AGG-11", f"""
+with {LINEAGE} select row_number() over (order by file) as position, file from gran""")
+def lineage_positions(spark, d):
+    return aggregate.lineage_positions(lineage_of(spark, d)).select("position", "file")
 
 
 _lat, _lon = latlon_sql("x", "y", 1)

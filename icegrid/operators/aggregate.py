@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from icegrid.functions import parse_granule_name, polar_latlon
 from icegrid.operators.interp import lattice
-from icegrid.operators.skew import attach, group_quantiles
+from icegrid.operators.skew import attach, group_quantiles, number_rows
 
 # Tolerances and error classes of the report against a reference DEM.
 REPORT_TOLS = (100, 50, 25, 0)
@@ -71,15 +71,20 @@ def cell_misfit(
 
 
 def block_average(
-    dz: DataFrame, scale: float, spacing: float, fields: list[str], area: str = "cell_area",
-    keys: list[str] | None = None,
+    dz: DataFrame, scales: float | tuple[float, ...], spacing: float, fields: list[str],
+    area: str = "cell_area", keys: list[str] | None = None,
 ) -> DataFrame:
-    """Area-weighted means over square blocks, per epoch or lag; the area is the block's sum."""
+    """Area-weighted means over square blocks, per epoch or lag; the area is the block's sum.
+
+    With several scales the rows meet all of them in one pass and get a column scale_m.
+    """
     keys = keys or ["it"]
-    per = scale / spacing
-    blocks = dz.withColumns({
-        "_bx": F.floor(F.col("ix") / per).cast("int"),
-        "_by": F.floor(F.col("iy") / per).cast("int"),
+    many = isinstance(scales, tuple)
+    steps = F.array(*[F.lit(float(s)) for s in (scales if many else (scales,))])
+    rows = dz.withColumn("_s", F.explode(steps))
+    per = F.col("_s") / spacing
+    rows = rows.withColumns({
+        "_bx": F.floor(F.col("ix") / per).cast("int"), "_by": F.floor(F.col("iy") / per).cast("int"),
     })
     a = F.col(area)
 
@@ -87,8 +92,11 @@ def block_average(
         used = F.when(F.col(f).isNotNull(), a)
         return F.try_divide(F.sum(a * F.col(f)), F.sum(used)).alias(f)
 
-    out = blocks.groupBy("_bx", "_by", *keys).agg(*[mean(f) for f in fields], F.sum(a).alias(area))
-    return out.withColumnsRenamed({"_bx": "ix", "_by": "iy"})
+    out = rows.groupBy("_s", "_bx", "_by", *keys).agg(*[mean(f) for f in fields], F.sum(a).alias(area))
+    scale = [F.col("_s").cast("int").alias("scale_m")] if many else []
+    return out.select(
+        *scale, F.col("_bx").alias("ix"), F.col("_by").alias("iy"), *keys, *fields, area
+    )
 
 
 def tile_stats(
@@ -205,11 +213,10 @@ def lineage(meta: DataFrame, granules: DataFrame) -> DataFrame:
     }).drop("_rgt0", "_rgt1").distinct()
 
 
-def lineage_arrays(rows: DataFrame, fields: list[str]) -> DataFrame:
-    """The lineage as parallel lists in file-name order: one row, one list per attribute."""
-    items = F.sort_array(F.collect_list(F.struct("file", *fields)))
-    one = rows.agg(items.alias("_l"))
-    return one.select(*[F.col(f"_l.{f}").alias(f) for f in ["file", *fields]])
+def lineage_positions(rows: DataFrame) -> DataFrame:
+    """The lineage with the position of each file, from 1 in name order: column c, by position,
+    is the list of attribute c of the product. Runs a job."""
+    return number_rows(rows, ["file"], "position")
 
 
 def coverage(rows: DataFrame, region: str | None = None) -> DataFrame:
@@ -294,13 +301,11 @@ def data_span(df: DataFrame, tile: list[str]) -> DataFrame:
 def reconcile_ids(sensors: DataFrame) -> DataFrame:
     """New sensor numbers for (file_order, sensor, num): 1, 2, ... by first file and number.
 
-    There is one row per sensor of a file, so names are few.
+    Runs a job.
     """
-    from pyspark.sql import Window
-
     first = sensors.groupBy("sensor").agg(F.min(F.struct("file_order", "num")).alias("_first"))
-    line = Window.orderBy("_first", "sensor")
-    new = first.select("sensor", F.row_number().over(line).alias("new_num"))
+    new = number_rows(first, ["_first", "sensor"], "new_num")
+    new = new.select("sensor", F.col("new_num").cast("int").alias("new_num"))
     return attach(sensors, new, ["sensor"])
 
 

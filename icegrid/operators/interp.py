@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icegrid.operators.skew import attach
+from icegrid.session import by_group
 
 
 def _pack_corners(
@@ -88,9 +89,14 @@ def lattice(df: DataFrame, keys: list[str], pad: int = 0) -> DataFrame:
         (F.min("ix") - pad).alias("_x0"), (F.max("ix") + pad).alias("_x1"),
         (F.min("iy") - pad).alias("_y0"), (F.max("iy") + pad).alias("_y1"),
     )
+    return _fill_box(box, keys)
+
+
+def _fill_box(box: DataFrame, keys: list[str]) -> DataFrame:
+    """All nodes of boxes _x0 ... _x1, _y0 ... _y1; their rows are made in parallel."""
     rows = box.withColumn("iy", F.explode(F.sequence("_y0", "_y1")))
-    rows = rows.withColumn("ix", F.explode(F.sequence("_x0", "_x1")))
-    return rows.select(*keys, "ix", "iy")
+    rows = by_group(rows, [*keys, "iy"])
+    return rows.withColumn("ix", F.explode(F.sequence("_x0", "_x1"))).select(*keys, "ix", "iy")
 
 
 def regrid(
@@ -105,9 +111,7 @@ def regrid(
         F.ceil(F.min("iy") * F.lit(spacing / new_spacing)).cast("int").alias("_y0"),
         F.floor(F.max("iy") * F.lit(spacing / new_spacing)).cast("int").alias("_y1"),
     ).where("_x0 <= _x1 and _y0 <= _y1")
-    nodes = box.withColumn("iy", F.explode(F.sequence("_y0", "_y1")))
-    nodes = nodes.withColumn("ix", F.explode(F.sequence("_x0", "_x1")))
-    nodes = nodes.select(
+    nodes = _fill_box(box, keys).select(
         *keys, "ix", "iy",
         (F.col("ix") * new_spacing).alias("x"), (F.col("iy") * new_spacing).alias("y"),
     )

@@ -24,15 +24,19 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return cond
 
 
-def attach(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join a table with one row per key to the rows.
+def attach(
+    df: DataFrame, table: DataFrame, keys: list[str], how: str = "left", nulls: bool = False
+) -> DataFrame:
+    """Join a table with one row per key to the rows; NULL keys match only if asked for.
 
     Spark measures the table and sends it to the rows if it is small; otherwise both sides are
     shuffled and oversized partitions of the rows are split (see session.SETTINGS).
     """
     extra = [c for c in table.columns if c not in keys]
-    joined = df.alias("l").join(table.alias("r"), same_key("l", "r", keys), how)
-    return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
+    if nulls:
+        joined = df.alias("l").join(table.alias("r"), same_key("l", "r", keys), how)
+        return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
+    return df.join(table, keys, how).select(*df.columns, *extra)
 
 
 def group_quantiles(
@@ -57,11 +61,11 @@ def group_quantiles(
     hot = F.broadcast(cut_lineage(hot))
     rest = vals.alias("l").join(hot.alias("r"), same_key("l", "r", keys), "left_anti")
     few = rest.groupBy(*keys).agg(*exact)
-    many = attach(vals, hot, keys, "inner")
+    many = attach(vals, hot, keys, "inner", nulls=True)
     picked = None
     for name, p in probs.items():
         one = _select_rank(many, keys, p).withColumnRenamed("_q", name)
-        picked = one if picked is None else attach(picked, one, keys, "inner")
+        picked = one if picked is None else attach(picked, one, keys, "inner", nulls=True)
     return few.unionByName(picked)
 
 
@@ -94,15 +98,16 @@ def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.array_distinct(F.percentile_approx("_v", grid, 4 * SPLITTERS)).alias("_cuts")
     )
     bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    rows = attach(rows, F.broadcast(cuts), keys, "inner").withColumn("_b", bucket).drop("_cuts")
+    rows = attach(rows, F.broadcast(cuts), keys, "inner", nulls=True)
+    rows = rows.withColumn("_b", bucket).drop("_cuts")
     sums = rows.groupBy(*keys, "_k", "_b").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_c").over(order), F.lit(0)))
     end = F.col("_before") + F.col("_c")
     wanted = sums.where((F.col("_before") <= F.col("_k") + 1) & (end > F.col("_k")))
     first = wanted.groupBy(*keys).agg(F.min("_before").alias("_skip"))
-    wanted = attach(wanted.drop("_k", "_c", "_before"), first, keys, "inner")
-    rows = attach(rows, F.broadcast(wanted), [*keys, "_b"], "inner")
+    wanted = attach(wanted.drop("_k", "_c", "_before"), first, keys, "inner", nulls=True)
+    rows = attach(rows, F.broadcast(wanted), [*keys, "_b"], "inner", nulls=True)
     return rows.withColumn("_k", F.col("_k") - F.col("_skip")).drop("_b", "_skip")
 
 
@@ -123,3 +128,22 @@ def rank_distinct(
     ranked = attach(vals.withColumn("_r", F.row_number().over(inside) - 1), starts,
                     [*keys, "_block"], "inner")
     return ranked.select(*keys, value, (F.col("_r") + F.col("_start")).alias(name))
+
+
+def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Row numbers from 1 in an order that must be total.
+
+    The rows are sorted over all tasks and stored; a row's number is its place in its part
+    plus the sizes of the parts before. Runs a job.
+    """
+    stored = cut_lineage(df.orderBy(*order))
+    part, bits = F.spark_partition_id(), 33
+    rows = stored.select(
+        "*", part.alias("_part"),
+        (F.monotonically_increasing_id() - F.shiftleft(part.cast("long"), bits)).alias("_i"),
+    )
+    sizes = rows.groupBy("_part").agg(F.count("*").alias("_c"))
+    below = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_start"))
+    out = attach(rows, starts, ["_part"], "inner")
+    return out.select(*df.columns, (F.col("_i") + F.col("_start") + 1).alias(name))

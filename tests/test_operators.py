@@ -67,7 +67,16 @@ def test_rank_distinct_crosses_blocks(spark):
 def test_attach_matches_null_keys(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     table = spark.createDataFrame([(None, 5), (2, 6)], "k int, w int")
-    assert rows(skew.attach(df, table, ["k"]), "v") == [(1, "a", None), (None, "b", 5)]
+    assert rows(skew.attach(df, table, ["k"], nulls=True), "v") == [(1, "a", None), (None, "b", 5)]
+    assert rows(skew.attach(df, table, ["k"]), "v") == [(1, "a", None), (None, "b", None)]
+
+
+def test_rows_are_numbered_over_parts(spark):
+    names = [f"n{(k * 7919) % 5000:05d}" for k in range(5000)]
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(8)
+    got = skew.number_rows(df, ["name"], "k").toPandas().sort_values("k")
+    assert got.k.tolist() == list(range(1, 5001))
+    assert got.name.tolist() == sorted(names)
 
 
 # projection
