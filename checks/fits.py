@@ -16,12 +16,16 @@ from icegrid.fit.scales import best_scale, l_curve
 from icegrid.fit.solve import fit_once, system_rows
 from icegrid.operators import components
 from icegrid.operators.tiles import neighbour_tiles
+from icegrid.plans import region
+from icegrid.plans.prepare import PointRules
+from icegrid.session import scratch_dir
 
 SPEC = FitSpec(
     width=6e4, z0_spacing=1e4, dz_spacing=2e4, dt=1.0, t_start=1995.0, n_epochs=8, ref_epoch=3,
     e_d2z0_dx2=0.02, e_d3z_dx2dt=0.0005, e_d2z_dt2=200000.0,
 )
 BIASED = FitSpec(**{**SPEC.__dict__, "bias_params": ("rgt", "pair")})
+BY_CYCLE = FitSpec(**{**SPEC.__dict__, "bias_params": ("cycle",)})
 
 # nodes of a tile: 7 x 7 of the surface, then 8 epochs of 4 x 4 of its change
 DESIGN = """
@@ -148,3 +152,21 @@ def masked_components(spark, d):
     marked = dz(spark, d).join(area, ["ix", "iy"], "left").withColumn(
         "cell_area", F.when(F.col("_a") > 1e6, F.col("cell_area")).otherwise(0.0)).drop("_a")
     return components.mask_by_component(marked).select("ix", "iy", "it", "dz", "cell_area")
+
+
+@query("region_products", "SNK-1 SNK-2 SNK-3 SNK-4 SRC-6 FIT-6 FIT-7 FIT-9 FIT-10 FIT-11 MOS-1 MOS-4")
+def region_products(spark, d):
+    """First fits, errors, matched fits, mosaics and products, step by step on disk."""
+    first, second = scratch_dir(spark, "prelim"), scratch_dir(spark, "matched")
+    rules = PointRules(sigma_tol=0.2, dem_tol=400.0, edit_width=4e4)
+    region.prelim(pts(spark, d), rules, BY_CYCLE, first, max_iterations=2)
+    region.errors(spark, first, BY_CYCLE, scale=(2, 1), lags=(1,))
+    region.matched(spark, first, second, BY_CYCLE, 4e4, sigma_scale=2.0)
+    grids = region.mosaics(spark, second, first, BY_CYCLE, 4e4)
+    grids["dz"] = grids["dz"].withColumn("t", F.col("t") + 24)
+    out = region.region_products(grids, BY_CYCLE, (1, 2), (40000,))
+    dem = out["dem"].select("x", "y", F.col("h").alias("value"), F.col("h_sigma").alias("sigma"))
+    change = out["change"].select(
+        "scale_m", "lag", "x", "y", "time", F.coalesce("delta_h", "dhdt").alias("value"),
+        F.col("delta_h_sigma").alias("sigma"))
+    return change.unionByName(dem, allowMissingColumns=True)

@@ -22,11 +22,11 @@ def read_grid(
 
 def split_bands(grid: DataFrame, path: str) -> None:
     """One folder per epoch, named by its time."""
-    grid.repartitionByRange("t", "iy").write.mode("overwrite").partitionBy("t").parquet(path)
+    grid.hint("rebalance", "t").write.mode("overwrite").partitionBy("t").parquet(path)
 
 
 def write_product(df: DataFrame, path: str) -> None:
     """A product in folders by scale and lag."""
-    df.repartitionByRange("scale_m", "lag", "y").write.mode("overwrite").partitionBy(
+    df.hint("rebalance", "scale_m", "lag").write.mode("overwrite").partitionBy(
         "scale_m", "lag"
     ).parquet(path)

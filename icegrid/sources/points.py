@@ -38,11 +38,9 @@ def with_bins(df: DataFrame, bin_m: float = BIN_M) -> DataFrame:
 def write_binned(df: DataFrame, path: str, bin_m: float = BIN_M) -> None:
     """Write points in folders by bin, ordered by place within files.
 
-    Rows are range-partitioned by bin, place and a hash of the row, so a crowded bin or place
-    is split over many tasks and small ones share a task.
+    Rebalancing joins small bins in a task and splits a crowded one, whatever fills it.
     """
-    binned = with_bins(df, bin_m)
-    binned = binned.repartitionByRange("bx", "by_", "x", "y", F.xxhash64(*df.columns))
+    binned = with_bins(df, bin_m).hint("rebalance", "bx", "by_")
     binned = binned.sortWithinPartitions("bx", "by_", "x")
     writer = binned.write.mode("overwrite").option("maxRecordsPerFile", LEAF_ROWS)
     writer.partitionBy("bx", "by_").parquet(path)

@@ -98,6 +98,9 @@ def test_projection_known_point_and_round_trip(spark):
         assert max(worst) < 1e-8
     one = spark.range(1).select(cell_area(F.lit(70.0), 1000.0, 1)).first()[0]
     assert one == pytest.approx(1e6, rel=1e-12)
+    lats = spark.createDataFrame([(-90.0,), (-89.9999,)], "lat double")
+    pole, near = (r[0] for r in lats.orderBy("lat").select(cell_area(F.col("lat"), 1000.0, -1)).collect())
+    assert pole == pytest.approx(near, rel=1e-9)
 
 
 def test_bad_tile_names_are_null(spark):
