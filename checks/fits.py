@@ -24,7 +24,6 @@ SPEC = FitSpec(
     width=6e4, z0_spacing=1e4, dz_spacing=2e4, dt=1.0, t_start=1995.0, n_epochs=8, ref_epoch=3,
     e_d2z0_dx2=0.02, e_d3z_dx2dt=0.0005, e_d2z_dt2=200000.0,
 )
-BIASED = FitSpec(**{**SPEC.__dict__, "bias_params": ("rgt", "pair")})
 BY_CYCLE = FitSpec(**{**SPEC.__dict__, "bias_params": ("cycle",)})
 
 # nodes of a tile: 7 x 7 of the surface, then 8 epochs of 4 x 4 of its change
@@ -82,15 +81,12 @@ def sigma_extras(spark, d):
     return rounded(sigma_extra(p, 1e4, 400.0))
 
 
-def biases(points):
-    return bias_groups(points, BIASED.bias_params)
-
-
 @query("surface_fit", "FIT-6 FIT-3")
 def surface_fit(spark, d):
-    """All tiles, with one bias per track and pair."""
+    """All tiles, with one bias per cycle."""
     p = tpts(spark, d)
-    return solution_tables(fit_once(p, BIASED, biases(p)), BIASED)["dz"]
+    biases = bias_groups(p, BY_CYCLE.bias_params)
+    return solution_tables(fit_once(p, BY_CYCLE, biases), BY_CYCLE)["dz"]
 
 
 @query("masked_fit", "FIT-14 FIT-13 AGG-6")

@@ -17,25 +17,19 @@ SIGMA_CLASSES = (0, 1, 2, 4, 8, 16, 32, 64)
 TILE_SPACING = 40000.0
 
 
-def block_median_grid(df: DataFrame, spacing: float, value: str, name: str) -> DataFrame:
-    cells = df.withColumns({
-        "ix": F.floor(F.col("x") / spacing).cast("int"),
-        "iy": F.floor(F.col("y") / spacing).cast("int"),
-    })
-    return group_quantiles(cells, ["ix", "iy"], F.col(value), {name: 0.5})
-
-
 def cell_means(
-    df: DataFrame, spacing: float, epoch: Column, fields: tuple[str, ...] = ("z",)
+    df: DataFrame, spacing: float, epoch: Column, fields: tuple[str, ...] = ("z",),
+    keys: list[str] | None = None,
 ) -> DataFrame:
     """Error-weighted means of the fields per cell and epoch, with the count of points."""
+    keys = keys or []
     w = 1 / (F.col("sigma") * F.col("sigma"))
     cells = df.select(
-        F.floor(F.col("x") / spacing).cast("int").alias("ix"),
+        *keys, F.floor(F.col("x") / spacing).cast("int").alias("ix"),
         F.floor(F.col("y") / spacing).cast("int").alias("iy"),
         epoch.alias("it"), w.alias("_w"), *fields,
     )
-    return cells.groupBy("ix", "iy", "it").agg(
+    return cells.groupBy(*keys, "ix", "iy", "it").agg(
         *[(F.sum(F.col("_w") * F.col(f)) / F.sum("_w")).alias(f) for f in fields],
         F.count("*").alias("count"),
     )

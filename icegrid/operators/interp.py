@@ -7,7 +7,6 @@ A value is missing where any corner with weight is missing, as in plain linear i
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -35,14 +34,17 @@ def _pack_corners(
     ])
 
 
-def _blend(field: str, fracs: list[Column]) -> Column:
-    """Weighted sum of the corners; corners of weight zero may be missing."""
-    terms = []
-    for corner in product((0, 1), repeat=len(fracs)):
-        n = sum(b << i for i, b in enumerate(corner))
-        w = reduce(lambda a, b: a * b, [f if b else 1 - f for f, b in zip(fracs, corner)])
-        terms.append(F.when(w == 0, F.lit(0.0)).otherwise(w * F.col(f"_{field}_{n}")))
-    return reduce(lambda a, b: a + b, terms)
+def _blend(field: str, fracs: list[Column], corner: int = 0) -> Column:
+    """Linear interpolation along the last axis of the values blended along the axes before.
+
+    The upper side may be missing where it has no weight; the lower side always has some.
+    """
+    if not fracs:
+        return F.col(f"_{field}_{corner}")
+    *before, f = fracs
+    low = _blend(field, before, corner)
+    high = _blend(field, before, corner + (1 << len(before)))
+    return low * (1 - f) + F.when(f == 0, 0.0).otherwise(high * f)
 
 
 def _interp(
@@ -55,11 +57,12 @@ def _interp(
     packed = packed.withColumnsRenamed(cells)
     cast = dict(grid.dtypes)
     rows = points.withColumns({cells[a]: F.floor(c).cast(cast[a]) for a, c in coords.items()})
+    rows = rows.withColumns({f"_frac_{a}": c - F.col(cells[a]) for a, c in coords.items()})
     rows = attach(rows, packed, [*keys, *cells.values()])
-    fracs = [c - F.col(cells[a]) for a, c in coords.items()]
+    fracs = [F.col(f"_frac_{a}") for a in axes]
     out = rows.withColumns({name: _blend(f, fracs) for f, name in fields.items()})
     packed_cols = [c for c in packed.columns if c not in keys]
-    return out.drop(*packed_cols)
+    return out.drop(*packed_cols, *[f"_frac_{a}" for a in axes])
 
 
 def interp2(

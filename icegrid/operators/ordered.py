@@ -82,10 +82,8 @@ def track_segments(
     within 5 of the fullest, the one with the smallest median along-track step is taken.
     """
     track = track or ["rgt", "pair"]
-    node = points.where("z is not null").groupBy(*track, "cycle", "ref_pt").agg(
-        F.avg("z").alias("z")
-    )
-    ends = points.groupBy(*track).agg(
+    node = points.groupBy(*track, "cycle", "ref_pt").agg(F.avg("z").alias("z"))
+    ends = node.groupBy(*track).agg(
         F.min("ref_pt").alias("_p0"), F.max("ref_pt").alias("_p1")
     )
     half = dn / 2
@@ -94,7 +92,8 @@ def track_segments(
     most = F.ceil((F.col("_p1") - F.col("_p0") - half) / half) - 1
     span = F.sequence(F.greatest(low, F.lit(0)).cast("int"), F.least(high, most).cast("int"))
     valid = F.greatest(low, F.lit(0)) <= F.least(high, most)
-    seg = attach(node, ends, track).withColumn("seg", F.explode(F.when(valid, span)))
+    seg = attach(node.where("z is not null"), ends, track)
+    seg = seg.withColumn("seg", F.explode(F.when(valid, span)))
     seg = seg.withColumn("pt0", F.col("_p0") + half + F.col("seg") * half).drop("_p0", "_p1")
     keys = [*track, "seg", "pt0", "cycle"]
     # a segment and cycle holds at most 3 dn reference points

@@ -17,15 +17,16 @@ def regional_rate(
 ) -> DataFrame:
     """Count-weighted rate over one lag, per block and epoch.
 
-    Points are edited against the DEM in their tiles, then each place keeps its nearest
-    tile's points; error-weighted cell means give the rates.
+    Points are edited against the DEM in their tiles and averaged to cells; each cell keeps the
+    values of its nearest tile, which give the rates.
     """
     edited = dem_block_edit(assign_tiles(points, width, spacing), width, dem_tol, ["x0", "y0"])
-    kept = nearest_tile_dedupe(edited.where("three_sigma_edit"))
-    cells = cell_means(kept, cell, F.col("cycle"))
-    cells = cells.withColumns({
-        "t": F.col("it") * F.lit(dt), "n": F.col("count").cast("double")
+    used = edited.where("three_sigma_edit")
+    cells = cell_means(used, cell, F.col("cycle"), keys=["x0", "y0"]).withColumns({
+        "x": (F.col("ix") + 0.5) * cell, "y": (F.col("iy") + 0.5) * cell,
+        "t": F.col("it") * F.lit(dt), "n": F.col("count").cast("double"),
     })
+    # cells are the bins by which overlaps are resolved, so this needs no points any more
+    cells = nearest_tile_dedupe(cells, cell)
     rates = lagged_rate(cells, (lag,), dt, field="z", carry=["n"])
-    out = block_average(rates, scale, cell, ["dzdt"], area="n")
-    return out.select("ix", "iy", "it", "dzdt", "n")
+    return block_average(rates, scale, cell, ["dzdt"], area="n")
