@@ -267,8 +267,8 @@ select sid, {r('y0+(20.5e0-x0)*(y1-y0)/(x1-x0)', 'y')},
  {r('exp(ln(y0)+(ln(20.5e0)-ln(x0))*(ln(y1)-ln(y0))/(ln(x1)-ln(x0)))', 'y_log')} from b"""))
 def curve_lookup(spark, d):
     c = pts(spark, d).groupBy("sid", F.col("cycle").cast("double").alias("xx")).agg(F.avg("z").alias("yy"))
-    a = ordered.interp_at(c, ["sid"], F.lit(20.5), "xx", "yy", "y")
-    b = ordered.interp_at(c, ["sid"], F.lit(20.5), "xx", "yy", "y_log", True)
+    a = ordered.interp_at(c, ["sid"], "xx", {"y": (F.lit(20.5), "yy")})
+    b = ordered.interp_at(c, ["sid"], "xx", {"y_log": (F.lit(20.5), "yy")}, loglog=True)
     return rounded(a.join(b, "sid"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from icegrid.operators.ordered import interp_at, track_segments
@@ -107,11 +107,11 @@ def l_curve(
 def best_scale(curve: DataFrame) -> DataFrame:
     """Expected curvature at which the spread is one, and at 1.1 times its minimum."""
     usable = curve.where("spread > 0 and n > 0")
-    least = usable.groupBy(*PLACE).agg(F.min("spread").alias("spread_min"))
-    rows = attach(usable, least, PLACE)
-    one = interp_at(rows, PLACE, F.lit(1.0), "spread", "expected", "e_for_spread_1", True)
-    n_one = interp_at(rows, PLACE, F.lit(1.0), "spread", "n", "n_at_spread_1", True)
-    ten = interp_at(
-        rows, PLACE, 1.1 * F.col("spread_min"), "spread", "expected", "e_10pct_above_min", True
-    )
-    return least.join(one, PLACE).join(n_one, PLACE).join(ten, PLACE)
+    # a segment has one row per factor
+    least = F.min("spread").over(Window.partitionBy(*PLACE))
+    rows = usable.withColumn("spread_min", least)
+    return interp_at(rows, [*PLACE, "spread_min"], "spread", {
+        "e_for_spread_1": (F.lit(1.0), "expected"),
+        "n_at_spread_1": (F.lit(1.0), "n"),
+        "e_10pct_above_min": (1.1 * F.col("spread_min"), "expected"),
+    }, loglog=True)

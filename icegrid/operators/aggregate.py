@@ -170,15 +170,10 @@ def field_sizes(tiles: DataFrame, tables: dict[str, DataFrame], tile: list[str])
     """Per tile and field the number of rows, columns and epochs; NULL where it is missing."""
     out = tiles.select(*tile).distinct()
     for field, df in tables.items():
-        have = df.where(F.col(field).isNotNull())
-        # one distinct list per axis would repeat the rows; the axes are short, so sets are cheap
         axes = {"ny": "iy", "nx": "ix", "nt": "it"}
-        sizes = None
-        for name, axis in axes.items():
-            one = have.select(*tile, axis).distinct().groupBy(*tile).agg(
-                F.count("*").alias(f"{field}_{name}")
-            )
-            sizes = one if sizes is None else sizes.join(one, tile)
+        sizes = df.where(F.col(field).isNotNull()).groupBy(*tile).agg(*[
+            F.count_distinct(axis).alias(f"{field}_{name}") for name, axis in axes.items()
+        ])
         out = out.join(sizes, tile, "left")
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from icegrid.operators.skew import attach, group_quantiles
+from icegrid.operators.skew import attach
 
 # Lags in epochs of quarterly and of monthly products, and the first year.
 QUARTER_LAGS = (1, 4, 8, 12, 16, 20, 24)
@@ -111,57 +111,91 @@ def track_segments(
 
 
 def interp_at(
-    curves: DataFrame, keys: list[str], target: Column, x: str, y: str, name: str,
+    curves: DataFrame, keys: list[str], x: str, lookups: dict[str, tuple[Column, str]],
     loglog: bool = False,
 ) -> DataFrame:
-    """Value of each curve at a target x, between the last x below it and the first not below.
+    """Values of each curve at target x, between the last x below it and the first not below.
 
-    The value is NULL if the target is not bracketed. target may use columns of the curves
-    that are the same in a whole curve.
+    lookups gives, by name, a target and the column to read. A value is NULL if its target is
+    not bracketed. A target may use columns that are the same in a whole curve. All lookups
+    are made in one pass.
     """
-    rows = curves.withColumn("_at", target)
-    below, above = F.col(x) < F.col("_at"), F.col(x) >= F.col("_at")
-    best = rows.groupBy(*keys).agg(
-        F.max(F.when(below, F.struct(x, y))).alias("_lo"),
-        F.min(F.when(above, F.struct(x, y))).alias("_hi"),
-        F.first("_at").alias("_at"),
-    )
+    aggs = []
+    for name, (target, y) in lookups.items():
+        point = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+        aggs += [
+            F.max(F.when(F.col(x) < target, point)).alias(f"_lo_{name}"),
+            F.min(F.when(F.col(x) >= target, point)).alias(f"_hi_{name}"),
+            F.first(target).alias(f"_at_{name}"),
+        ]
+    best = curves.groupBy(*keys).agg(*aggs)
 
-    def c(v: Column) -> Column:
+    def scale(v: Column) -> Column:
         return F.ln(v) if loglog else v
 
-    x0, x1, y0, y1 = (c(F.col(n)) for n in (f"_lo.{x}", f"_hi.{x}", f"_lo.{y}", f"_hi.{y}"))
-    v = y0 + (c(F.col("_at")) - x0) * (y1 - y0) / (x1 - x0)
-    return best.select(*keys, (F.exp(v) if loglog else v).alias(name))
+    def value(name: str) -> Column:
+        x0, x1, y0, y1 = (
+            scale(F.col(f"_{side}_{name}.{c}")) for c in "xy" for side in ("lo", "hi")
+        )
+        v = y0 + (scale(F.col(f"_at_{name}")) - x0) * (y1 - y0) / (x1 - x0)
+        return (F.exp(v) if loglog else v).alias(name)
 
+    return best.select(*keys, *[value(name) for name in lookups])
 
-def arc_length(
-    points: DataFrame, track: list[str], order: str, block: int = 4096
+
+def _along(
+    points: DataFrame, track: list[str], order: str, fields: list[str], block: int
 ) -> DataFrame:
-    """Distance s along each track from its first point; order is a whole number, unique per track.
+    """Adds s, the distance along the track, and _to, the distance and fields of the next point.
 
-    Steps are summed within blocks of consecutive order numbers, then over the blocks, so a
-    track of any length is spread over tasks.
+    Points are ordered within blocks of consecutive order numbers. What blocks hand on is one
+    row each: their first and last point and inner length.
     """
-    rows = points.withColumn("_block", F.floor(F.col(order) / block))
     keys = [*track, "_block"]
     line = Window.partitionBy(*keys).orderBy(order)
+    dx, dy = F.col("x") - F.lag("x").over(line), F.col("y") - F.lag("y").over(line)
+    rows = points.withColumn("_block", F.floor(F.col(order) / block))
+    rows = rows.withColumn("_step", F.coalesce(F.sqrt(dx * dx + dy * dy), F.lit(0.0)))
+    rows = rows.withColumn(
+        "_c", F.sum("_step").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    after = F.struct(F.col("_c").alias("s"), *fields)
+    rows = rows.withColumn("_next", F.lead(after).over(line))
     ends = rows.groupBy(*keys).agg(
-        F.max_by(F.struct("x", "y"), order).alias("_end"),
+        F.min_by(F.struct("x", "y", *[F.col(f).alias(f"f_{f}") for f in fields]), order).alias("_a"),
+        F.max_by(F.struct("x", "y"), order).alias("_z"), F.max("_c").alias("_len"),
     )
     over = Window.partitionBy(*track).orderBy("_block")
-    entry = ends.select(*keys, F.lag("_end").over(over).alias("_entry"))
-    rows = attach(rows, entry, keys)
-    px = F.coalesce(F.lag("x").over(line), F.col("_entry.x"))
-    py = F.coalesce(F.lag("y").over(line), F.col("_entry.y"))
-    dx, dy = F.col("x") - px, F.col("y") - py
-    rows = rows.withColumn("_step", F.coalesce(F.sqrt(dx * dx + dy * dy), F.lit(0.0)))
-    sums = rows.groupBy(*keys).agg(F.sum("_step").alias("_len"))
-    past = over.rowsBetween(Window.unboundedPreceding, -1)
-    start = sums.select(*keys, F.coalesce(F.sum("_len").over(past), F.lit(0.0)).alias("_s0"))
-    rows = attach(rows, start, keys)
-    s = F.col("_s0") + F.sum("_step").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("s", s).drop("_block", "_entry", "_step", "_s0")
+    gx = F.col("_a.x") - F.lag("_z.x").over(over)
+    gy = F.col("_a.y") - F.lag("_z.y").over(over)
+    ends = ends.withColumn("_gap", F.coalesce(F.sqrt(gx * gx + gy * gy), F.lit(0.0)))
+    # a block starts after all lengths before it and all gaps up to it
+    before = F.coalesce(
+        F.sum("_len").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
+    )
+    gaps = F.sum("_gap").over(over.rowsBetween(Window.unboundedPreceding, 0))
+    ends = ends.withColumn("_s0", before + gaps)
+    first = F.struct(F.col("_s0").alias("s"), *[F.col(f"_a.f_{f}").alias(f) for f in fields])
+    ends = ends.select(*keys, "_s0", F.lead(first).over(over).alias("_exit"))
+    rows = attach(rows, ends, keys)
+    inner = F.struct(
+        (F.col("_next.s") + F.col("_s0")).alias("s"), *[F.col(f"_next.{f}").alias(f) for f in fields]
+    )
+    rows = rows.withColumns({
+        "s": F.col("_s0") + F.col("_c"),
+        "_to": F.when(F.col("_next").isNotNull(), inner).otherwise(F.col("_exit")),
+    })
+    return rows.drop("_block", "_step", "_c", "_next", "_s0", "_exit")
+
+
+def arc_length(
+    points: DataFrame, track: list[str], order: str, block: int = 4096
+) -> DataFrame:
+    """Distance s along each track from its first point; order is a whole number, unique per track.
+
+    A track of any length is spread over tasks, by blocks of its order numbers.
+    """
+    return _along(points, track, order, [], block).drop("_to")
 
 
 def resample_track(
@@ -169,16 +203,7 @@ def resample_track(
     block: int = 4096,
 ) -> DataFrame:
     """The fields, linearly interpolated, at even distances below the length of each track."""
-    along = arc_length(points, track, order, block)
-    along = along.withColumn("_block", F.floor(F.col(order) / block))
-    keys = [*track, "_block"]
-    line = Window.partitionBy(*keys).orderBy(order)
-    values = F.struct("s", *fields)
-    starts = along.groupBy(*keys).agg(F.min_by(values, order).alias("_first"))
-    over = Window.partitionBy(*track).orderBy("_block")
-    exits = starts.select(*keys, F.lead("_first").over(over).alias("_exit"))
-    along = attach(along, exits, keys)
-    along = along.withColumn("_to", F.coalesce(F.lead(values).over(line), F.col("_exit")))
+    along = _along(points, track, order, fields, block).where("_to is not null")
     # each interval makes the even distances from its start up to, not including, its end
     first, last = F.ceil(F.col("s") / step), F.ceil(F.col("_to.s") / step) - 1
     span = F.when(first <= last, F.sequence(first.cast("long"), last.cast("long")))
@@ -187,10 +212,3 @@ def resample_track(
     w = (si - F.col("s")) / (F.col("_to.s") - F.col("s"))
     out = [(F.col(f) + (F.col(f"_to.{f}") - F.col(f)) * w).alias(f) for f in fields]
     return rows.select(*track, "k", si.alias("s"), *out)
-
-
-def smoothness(points: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Median absolute step of z in each group, over rows unique in order."""
-    line = Window.partitionBy(*keys).orderBy(order)
-    rows = points.withColumn("_d", F.abs(F.col("z") - F.lag("z").over(line)))
-    return group_quantiles(rows, keys, F.col("_d"), {"roughness": 0.5})

@@ -336,5 +336,5 @@ def test_rates_need_both_epochs(spark):
 
 def test_curve_lookup_outside_is_null(spark):
     df = spark.createDataFrame([(1, 1.0, 10.0), (1, 3.0, 30.0), (2, 3.0, 1.0), (2, 5.0, 1.0)], "k int, x double, y double")
-    got = rows(ordered.interp_at(df, ["k"], F.lit(2.0), "x", "y", "v"), "k")
+    got = rows(ordered.interp_at(df, ["k"], "x", {"v": (F.lit(2.0), "y")}), "k")
     assert got == [(1, 20.0), (2, None)]
