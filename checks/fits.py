@@ -140,12 +140,20 @@ def scale_search(spark, d):
     return best_scale(l_curve(p, 8000.0, min_fill=0.02))
 
 
-@query("masked_components", "AGG-15")
+@query("masked_components", "AGG-15", sql("pts dz", """
+with recursive ok as (select ix, iy, cast(ix as bigint)*1000000+iy id from dz where cell_area > 0 group by ix, iy
+   having (ix, iy) in (select (ix, iy) from dz where cell_area > 0 group by ix, iy having min(cell_area) > 1e6)),
+reach as (select ix, iy, id from ok union
+  select o.ix, o.iy, r.id from reach r join ok o on abs(o.ix-r.ix)+abs(o.iy-r.iy) = 1),
+part as (select ix, iy, min(id) label from reach group by ix, iy),
+span as (select label, min(it) i0, max(it) i1 from dz join part using (ix, iy) where "count" > 1 group by label)
+select ix, iy, it, case when label is null or it between i0 and i1 then dz end dz,
+  case when label is null then 0e0 else cell_area end cell_area
+from dz left join part using (ix, iy) left join span using (label)"""))
 def masked_components(spark, d):
-    g = dz(spark, d).where("cell_area > 0")
-    # parts of the cells that have area in every quarter they were seen in
-    area = g.groupBy("ix", "iy").agg(F.min("cell_area").alias("_a"))
-    marked = dz(spark, d).join(area, ["ix", "iy"], "left").withColumn(
+    """Parts of the cells whose area is above one unit in every quarter that has any."""
+    seen = dz(spark, d).where("cell_area > 0").groupBy("ix", "iy").agg(F.min("cell_area").alias("_a"))
+    marked = dz(spark, d).join(seen, ["ix", "iy"], "left").withColumn(
         "cell_area", F.when(F.col("_a") > 1e6, F.col("cell_area")).otherwise(0.0)).drop("_a")
     return components.mask_by_component(marked).select("ix", "iy", "it", "dz", "cell_area")
 

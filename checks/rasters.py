@@ -571,6 +571,43 @@ def merged_errors(spark, d):
         F.col("x0").cast("double").alias("x0"), F.col("y0").cast("double").alias("y0"), "ix", "iy", "sigma_z0")
 
 
+MONTHS = """
+mo as (select *, 2018+it/12e0 t from (select cast(floor(x/4e4) as int) ix, cast(floor(y/4e4) as int) iy,
+  cast(floor(("time"-1995)*12) as int) it, avg(z) dz, max(sigma) sigma_dz, (min(qty)-1)*1e6 cell_area,
+  cast(count(*) as double) as "count" from pts group by 1, 2, 3)),
+mr as (select a.ix, a.iy, a.it, a.t+lag/24e0 t, lag, cast(null as double) dz, (b.dz-a.dz)/(lag/12e0) dzdt,
+  least(a.cell_area, b.cell_area) cell_area, cast(null as double) sigma_dz, cast(null as double) as "count"
+ from mo a join (values (1),(3),(6),(12)) l(lag) on true join mo b on b.ix = a.ix and b.iy = a.iy and b.it = a.it+lag),
+mf as (select * from (select ix, iy, it, t, 0 lag, dz, cast(null as double) dzdt, cell_area, sigma_dz, "count" from mo
+ union all select * from mr) where t between 2019+lag/24e0 and 2050),
+ma as (select 40000 scale_m, lag, ix*4e4 x, iy*4e4 y, t, cell_area a, dz, dzdt, sigma_dz, "count" from mf union all
+ select 80000, lag, (floor(ix/2e0)+0.5)*8e4, (floor(iy/2e0)+0.5)*8e4, t, sum(cell_area),
+  sum(cell_area*dz)/nullif(sum(cell_area) filter (where dz is not null),0),
+  sum(cell_area*dzdt)/nullif(sum(cell_area) filter (where dzdt is not null),0), null, null
+ from mf group by lag, floor(ix/2e0), floor(iy/2e0), it, t)"""
+
+
+@query("monthly_change_product", "SNK-5", sql("pts", f"""
+with {MONTHS} select scale_m, lag, x, y, {r('(t-2018)*365.25e0', '"time"')}, {r('nullif(a, 0)/1e6', 'ice_area')},
+ {r('case when a <> 0 then dz end', 'delta_h')}, {r('case when a <> 0 then dzdt end', 'dhdt')},
+ {r('case when a <> 0 then sigma_dz end', 'delta_h_sigma')}, {r('"count"', 'data_count')} from ma"""))
+def monthly_change_product(spark, d):
+    it = F.floor((F.col("time") - 1995) * 12).cast("int")
+    m = pts(spark, d).groupBy(
+        F.floor(F.col("x") / 4e4).cast("int").alias("ix"), F.floor(F.col("y") / 4e4).cast("int").alias("iy"),
+        it.alias("it")
+    ).agg(
+        F.avg("z").alias("dz"), F.max("sigma").alias("sigma_dz"),
+        ((F.min("qty") - 1) * 1e6).alias("cell_area"), F.count("*").cast("double").alias("count"),
+    )
+    missing = F.lit(None).cast("double")
+    m = m.withColumns({
+        "t": 2018 + F.col("it") / F.lit(12.0), "misfit_rms": missing, "misfit_scaled_rms": missing})
+    out = products.monthly_change_product(m, 4e4, (80000,)).drop("misfit_rms", "misfit_scaled_rms")
+    area = (F.col("ice_area") / 1e6).alias("ice_area")
+    return rounded(out.select(*[area if c == "ice_area" else c for c in out.columns]))
+
+
 @query("stored_change_product", "SNK-4", sql("pts dz", f"""
 with {CHANGE} select 10000 scale_m, lag, count(*) n, count(nullif(cell_area, 0)) n_ice from fine group by lag"""))
 def stored_change_product(spark, d):

@@ -231,8 +231,9 @@ def sql(names: str, body: str) -> str:
     """A statement over the named derived tables."""
     used = [n for n in SQL_TABLES if n in names.split()]
     head = ",".join(SQL_TABLES[n] for n in used)
-    joiner = ",\n" if body.lstrip().lower().startswith("with ") else "\n"
-    body = body.lstrip()[5:] if joiner == ",\n" else body
+    start = "with recursive " if body.lstrip().startswith("with recursive ") else "with "
+    joiner = ",\n" if body.lstrip().startswith(start) else "\n"
+    body = body.lstrip()[len(start):] if joiner == ",\n" else body
     return f"with recursive {head}{joiner}{body}" if head else body
 
 

@@ -101,8 +101,9 @@ def track_segments(
     seg = seg.withColumn("_d", F.abs(F.col("z") - F.lag("z").over(line)))
     stats = seg.groupBy(*keys).agg(F.count("*").alias("n"), F.median("_d").alias("roughness"))
     place = [*track, "seg", "pt0"]
-    fullest = stats.groupBy(*place).agg(F.max("n").alias("_max"))
-    stats = attach(stats, fullest, place).where(
+    # one row per cycle of a segment
+    fullest = F.max("n").over(Window.partitionBy(*place))
+    stats = stats.withColumn("_max", fullest).where(
         (F.col("_max") >= min_fill * dn) & (F.col("n") >= F.col("_max") - 5)
     )
     order = F.struct(F.col("roughness").isNull(), "roughness", "cycle")

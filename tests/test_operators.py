@@ -338,3 +338,18 @@ def test_curve_lookup_outside_is_null(spark):
     df = spark.createDataFrame([(1, 1.0, 10.0), (1, 3.0, 30.0), (2, 3.0, 1.0), (2, 5.0, 1.0)], "k int, x double, y double")
     got = rows(ordered.interp_at(df, ["k"], "x", {"v": (F.lit(2.0), "y")}), "k")
     assert got == [(1, 20.0), (2, None)]
+
+
+def test_all_steps_of_preparation_run(spark, sf_dir):
+    from checks.tables import grid, pts
+    from icegrid.operators.filters import edit_list
+    from icegrid.plans.prepare import PointRules, prepare_points
+
+    rules = PointRules(
+        sigma_tol=0.2, dem_tol=400.0, geoid_tol=-50.0, edge_pad=1000.0, edit_width=4e4, n_target=500.0,
+        min_points=5,
+    )
+    mask = grid(spark, sf_dir).select("ix", "iy", "mask")
+    out = prepare_points(pts(spark, sf_dir), rules, edit_list(spark), mask, 1e4)
+    row = out.agg(F.count("*"), F.count("floating"), F.count("editable"), F.count("three_sigma_edit")).first()
+    assert row[0] > 0 and len(set(row)) == 1
