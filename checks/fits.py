@@ -108,7 +108,7 @@ def edited_fit(spark, d):
 def error_fit(spark, d):
     """Errors on a coarser grid, brought to the spacing of the fit."""
     coarse = SPEC.coarser(2, 1)
-    rows = system_rows(normal_equations(tpts(spark, d), coarse))
+    rows = system_rows(tpts(spark, d), coarse)
     errors = fit_errors(rows, coarse, lags=(1,), scales=(60000,))
     return upsample_errors(errors.where("field = 'z0'"), ["x0", "y0"], 2)
 
@@ -117,8 +117,7 @@ def error_fit(spark, d):
 def matched_fit(spark, d):
     """Fit again with the edges held near the neighbours' first solutions."""
     p = tpts(spark, d)
-    equations = normal_equations(p, SPEC)
-    rows = system_rows(equations)
+    rows = system_rows(p, SPEC)
     tables = solution_tables(fit_once(p, SPEC), SPEC)
     errors = fit_errors(rows, SPEC, lags=())
     s0 = errors.where("field = 'z0'").select("x0", "y0", "i", "j", F.col("sigma").alias("sigma_z0"))
