@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks.rasters import ground_tracks
 from checks.registry import query
 from checks.tables import dz, grid, pts, r, rounded, sql, tiles, tpts
 from icegrid.fit import (
@@ -50,10 +51,10 @@ def design_sums(spark, d):
 
 @query("normal_equations", "FIT-2", sql("pts tpts", f"""
 with {DESIGN}, nz as (select * from nd where c <> 0)
-select a.x0, a.y0, a.node a, b.node b, {r('sum(a.c*b.c/(a.sigma*a.sigma))', 'v', 4)} from nz a join nz b on a.k = b.k and b.node >= a.node group by 1, 2, 3, 4
-union all select x0, y0, node, -1, {r('sum(c*z/(sigma*sigma))', 'v', 4)} from nz group by 1, 2, 3"""))
+select a.x0, a.y0, a.node a, b.node b, {r('sum(a.c*b.c/(a.sigma*a.sigma))', 'v', 2)} from nz a join nz b on a.k = b.k and b.node >= a.node group by 1, 2, 3, 4
+union all select x0, y0, node, -1, {r('sum(c*z/(sigma*sigma))', 'v', 2)} from nz group by 1, 2, 3"""))
 def normal_sums(spark, d):
-    return rounded(normal_equations(tpts(spark, d), SPEC), 4)
+    return rounded(normal_equations(tpts(spark, d), SPEC), 2)
 
 
 @query("bias_groups", "FIT-5", sql("pts tpts", f"""
@@ -134,9 +135,9 @@ def matched_fit(spark, d):
 
 @query("scale_search", "FIT-12 WIN-5 WIN-6")
 def scale_search(spark, d):
-    """Places lie 5 m apart along the tracks, which keeps segments of 400 of them short."""
-    p = pts(spark, d).withColumn("x_atc", F.col("ref_pt") * 5.0)
-    return best_scale(l_curve(p, 8000.0, min_fill=0.02))
+    """Places lie 20 m apart along their tracks."""
+    p = ground_tracks(spark, d).withColumn("x_atc", F.col("ref_pt") * 20.0)
+    return best_scale(l_curve(p, 2000.0, min_fill=0.5))
 
 
 @query("masked_components", "AGG-15", sql("pts dz", """

@@ -242,21 +242,25 @@ def browse_limits(spark, d):
 # tracks
 
 
+def ground_tracks(spark, d):
+    """Every 2000 places in a row are a track."""
+    return pts(spark, d).withColumn("rgt", (F.floor(F.col("ref_pt") / 2000) + 1).cast("int"))
+
+
 @query("track_segments", "WIN-5", sql("pts", f"""
-with nd as (select rgt, pair, "cycle", ref_pt, avg(z) z from pts group by all),
-e as (select rgt, pair, min(ref_pt) p0, max(ref_pt) p1 from pts group by all),
-g as (select nd.*, s.s seg, p0+200+s.s*200 pt0 from nd join e using (rgt, pair), lateral (select unnest(range(
-   greatest(cast(floor((ref_pt-600-p0-200)/200e0) as bigint)+1, 0),
-   least(cast(ceil((ref_pt+600-p0-200)/200e0) as bigint)-1, cast(ceil((p1-p0-200)/200e0) as bigint)-1)+1)) s) s),
+with nd as (select cast(ref_pt//2000+1 as int) rgt, pair, "cycle", ref_pt, avg(z) z from pts group by all),
+e as (select rgt, pair, min(ref_pt) p0, max(ref_pt) p1 from nd group by all),
+g as (select nd.*, s.s seg, p0+50+s.s*50 pt0 from nd join e using (rgt, pair), lateral (select unnest(range(
+   greatest(cast(floor((ref_pt-150-p0-50)/50e0) as bigint)+1, 0),
+   least(cast(ceil((ref_pt+150-p0-50)/50e0) as bigint)-1, cast(ceil((p1-p0-50)/50e0) as bigint)-1)+1)) s) s),
 gd as (select *, abs(z-lag(z) over (partition by rgt, pair, seg, "cycle" order by ref_pt)) dd from g),
 st as (select rgt, pair, seg, pt0, "cycle", count(*) n, median(dd) rough from gd group by all),
 mx as (select *, max(n) over (partition by rgt, pair, seg) m from st),
-ok as (select *, row_number() over (partition by rgt, pair, seg order by rough nulls last, "cycle") k from mx where n >= m-5 and m >= 8)
-select rgt, pair, cast(seg as int) seg, cast(pt0 as double) pt0, "cycle", n, {r('rough', 'roughness')} from ok where k = 1"""
-    ))
+ok as (select *, row_number() over (partition by rgt, pair, seg order by rough nulls last, "cycle") k from mx where n >= m-5 and m >= 50)
+select rgt, pair, cast(seg as int) seg, cast(pt0 as double) pt0, "cycle", n, {r('rough', 'roughness')} from ok where k = 1"""))
 def track_segments(spark, d):
-    """Segments of 400 points; here a fiftieth of them is enough."""
-    return rounded(ordered.track_segments(pts(spark, d), 400, min_fill=0.02))
+    """Segments of 100 places, of which a cycle must have measured half."""
+    return rounded(ordered.track_segments(ground_tracks(spark, d), 100, min_fill=0.5))
 
 
 @query("curve_lookup", "WIN-6", sql("pts", f"""
@@ -284,21 +288,21 @@ def track(spark, d):
         F.min("x").alias("x"), F.min("y").alias("y"), F.min("time").alias("tt"))
 
 
-@query("arc_lengths", "WIN-7", sql("pts", f"with {TRACK} select sid, ref_pt, {r('s', 's', 3)} from al"))
+@query("arc_lengths", "WIN-7", sql("pts", f"with {TRACK} select sid, ref_pt, {r('s', 's', 1)} from al"))
 def arc_lengths(spark, d):
     out = ordered.arc_length(track(spark, d), ["sid"], "ref_pt", block=256)
-    return rounded(out.select("sid", "ref_pt", "s"), 3)
+    return rounded(out.select("sid", "ref_pt", "s"), 1)
 
 
 @query("resampled_tracks", "WIN-7", sql("pts", f"""
 with {TRACK}, iv as (select *, lead(s) over w s1, lead(x) over w x1, lead(y) over w y1, lead(tt) over w t1 from al
   window w as (partition by sid order by ref_pt)),
 k as (select *, unnest(range(cast(ceil(s/5e5) as bigint), cast(ceil(s1/5e5) as bigint))) k from iv where s1 is not null)
-select sid, k, {r('k*5e5', 's', 3)}, {r('x+(x1-x)*(k*5e5-s)/(s1-s)', 'x', 3)}, {r('y+(y1-y)*(k*5e5-s)/(s1-s)', 'y', 3)},
+select sid, k, {r('k*5e5', 's', 1)}, {r('x+(x1-x)*(k*5e5-s)/(s1-s)', 'x', 1)}, {r('y+(y1-y)*(k*5e5-s)/(s1-s)', 'y', 1)},
  {r('tt+(t1-tt)*(k*5e5-s)/(s1-s)', 'tt')} from k"""))
 def resampled_tracks(spark, d):
     out = ordered.resample_track(track(spark, d), ["sid"], "ref_pt", ["x", "y", "tt"], 5e5, block=256)
-    place = rounded(out.select("sid", "k", "s", "x", "y"), 3)
+    place = rounded(out.select("sid", "k", "s", "x", "y"), 1)
     return place.join(rounded(out.select("sid", "k", "tt")), ["sid", "k"])
 
 
