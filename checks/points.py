@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.tables import dz, grid, pts, r, rounded, sql, table, tiles, tpts
+from checks.tables import grid, pts, r, rounded, sql, table, tiles, tpts
 from icegrid.operators import aggregate, filters, points
 from icegrid.operators import tiles as tile_ops
 from icegrid.session import scratch_dir
@@ -30,11 +30,6 @@ def bin_counts(spark, d):
     return source.bin_counts(pts(spark, d))
 
 
-XOVER = """
-xo as (select *, case when "cycle" % 2 = 0 then 1 else 2 end xc, cast(sid as bigint) ref_rgt,
-  cast(lno % 2 + 1 as int) ref_pair, row_number() over () from pts where not along_track)"""
-
-
 def xover_groups(spark, d):
     p = pts(spark, d).where("not along_track").withColumns({
         "file": F.concat(F.lit("x"), F.col("sid").cast("string")),
@@ -64,10 +59,7 @@ select rgt, ref_rgt, pair, ref_pair, "cycle", z, sigma, ref_pt, delta_time from
  from xo) where k = 1"""))
 def crossovers(spark, d):
     path = scratch_dir(spark, "xover")
-    root, crossing, datum = xover_groups(spark, d)
-    source.write_binned(root, f"{path}/root")
-    crossing.write.parquet(f"{path}/crossing")
-    datum.write.parquet(f"{path}/datum")
+    source.write_xovers(*xover_groups(spark, d), path)
     out = source.read_xovers(spark, path, BOX)
     return out.select("rgt", "ref_rgt", "pair", "ref_pair", "cycle", "z", "sigma", "ref_pt", "delta_time")
 

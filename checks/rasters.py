@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.scalars import latlon_sql, names
+from checks.scalars import latlon_sql
 from checks.spatial import INSIDE, bilinear
-from checks.tables import dz, fmask, grid, model, polys, pts, r, rounded, sql, table, tiles, tpts
-from icegrid.functions import firn_height
+from checks.tables import dz, fmask, grid, polys, pts, r, rounded, sql, table, tiles, tpts
 from icegrid.operators import aggregate, masks, mosaic, ordered, products, raster
-from icegrid.operators import interp
 from icegrid.operators import tiles as tile_ops
 from icegrid.session import scratch_dir
 from icegrid.sources import fits, grids, logs

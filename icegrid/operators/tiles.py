@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from icegrid.functions import bin_centre, npmod, parse_tile_name
 from icegrid.operators.interp import interp2
 from icegrid.operators.raster import dilate, downsample, pad_canvas
-from icegrid.operators.skew import attach
 
 # Moves, in half tiles, from a centre to the tiles of each processing step.
 STEP_MOVES = {

@@ -70,17 +70,31 @@ def read_points(
     return df.select(*cols)
 
 
+XOVER_GROUPS = ("root", "crossing", "datum")
+
+
+def write_xovers(
+    root: DataFrame, crossing: DataFrame, datum: DataFrame, path: str, bin_m: float = BIN_M
+) -> None:
+    """The row-aligned crossover tables, all in folders by the bin of the crossover."""
+    place = root.select("file", "row_id", "x", "y")
+    write_binned(root, f"{path}/root", bin_m)
+    for name, df in (("crossing", crossing), ("datum", datum)):
+        write_binned(df.join(place, ["file", "row_id"]), f"{path}/{name}", bin_m)
+
+
 def read_xovers(
     spark: SparkSession, path: str, box: Box, cycles: tuple[int, ...] = (1, 2),
     bin_m: float = BIN_M,
 ) -> DataFrame:
-    """Best crossover points in a box, from the tables root, crossing and datum under path.
+    """Best crossover points in a box; folders of all three tables are pruned.
 
-    root holds x, y and is binned and split by cycle. All input files of all cycles count.
+    All input files of all cycles count.
     """
-    root = spark.read.parquet(f"{path}/root").where(F.col("cycle").isin(*cycles))
-    root = in_box(in_bins(root, box, bin_m), box).drop("bx", "by_")
-    crossing = spark.read.parquet(f"{path}/crossing")
-    datum = spark.read.parquet(f"{path}/datum")
-    rows = join_xover_groups(root, crossing, datum)
+    root, crossing, datum = (
+        in_box(in_bins(spark.read.parquet(f"{path}/{name}"), box, bin_m), box).drop("bx", "by_")
+        for name in XOVER_GROUPS
+    )
+    root = root.where(F.col("cycle").isin(*cycles))
+    rows = join_xover_groups(root, crossing.drop("x", "y"), datum.drop("x", "y"))
     return best_xover(rows, ["file", "row_id"], XOVER_KEYS)

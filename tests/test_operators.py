@@ -71,6 +71,31 @@ def test_attach_matches_null_keys(spark):
     assert rows(skew.attach(df, table, ["k"]), "v") == [(1, "a", None), (None, "b", None)]
 
 
+def test_hot_key_of_a_join_is_split(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("int")
+        rows_ = spark.range(0, 300000, 1, 8).select(key.alias("k"), "id")
+        stats = rows_.groupBy("k").agg(F.count("*").alias("n"))
+        out = skew.attach(rows_, stats, ["k"])
+        # a grouping by the same key must not undo the split
+        total = out.groupBy("k").agg(F.sum("n").alias("s"), F.count("*").alias("c"))
+        got = {r.k: (r.s, r.c) for r in total.collect()}
+        assert got[7][0] == got[7][1] ** 2 and got[7][1] > 100000
+        assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_rows_are_numbered_over_parts(spark):
     names = [f"n{(k * 7919) % 5000:05d}" for k in range(5000)]
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(8)
