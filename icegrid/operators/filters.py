@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from icegrid.functions import parent_tile
 from icegrid.operators.interp import interp2
-from icegrid.operators.skew import attach, group_median
+from icegrid.operators.skew import attach, group_median, keep, leave
 
 # Known bad (track, cycle) pairs; the second counts only where the mean
 # position of the tile's points lies within near_dist of the named place on both axes.
@@ -37,14 +37,14 @@ def apply_edit_list(df: DataFrame, edits: DataFrame, tile: list[str]) -> DataFra
     """Drop listed (track, cycle) pairs; a placed rule drops them only in tiles near its place."""
     pair = ["rgt", "cycle"]
     always = edits.where("near_dist is null").select(*pair)
-    df = df.join(always, pair, "left_anti")
+    df = leave(df, always, pair)
     placed = edits.where("near_dist is not null")
     means = df.groupBy(*tile).agg(F.avg("x").alias("_mx"), F.avg("y").alias("_my"))
     off = F.greatest(F.abs(F.col("_mx") - F.col("near_x")), F.abs(F.col("_my") - F.col("near_y")))
     # few points carry a listed pair, so only their tiles are measured against the place
     hits = df.select(*tile, *pair).join(placed, pair).distinct()
     local = hits.join(means, tile).where(off < F.col("near_dist")).select(*tile, *pair)
-    return df.join(local, [*tile, *pair], "left_anti")
+    return leave(df, local, [*tile, *pair])
 
 
 def subtract_reference(
@@ -117,7 +117,7 @@ def sufficient_tiles(
 
 
 def gate_tiles(df: DataFrame, tile: list[str], width: float, **kw) -> DataFrame:
-    return df.join(sufficient_tiles(df, tile, width, **kw).select(*tile), tile, "left_semi")
+    return keep(df, sufficient_tiles(df, tile, width, **kw), tile)
 
 
 def select_tiles(
@@ -153,11 +153,11 @@ def pending_tiles(
     """Tiles on the list that have their earlier step and are not done yet."""
     keys = ["x0", "y0"]
     if listed is not None:
-        tiles = tiles.join(listed.select(*keys), keys, "left_semi")
+        tiles = keep(tiles, listed, keys)
     if required is not None:
-        tiles = tiles.join(required.select(*keys), keys, "left_semi")
+        tiles = keep(tiles, required, keys)
     if done is not None:
-        tiles = tiles.join(done.select(*keys), keys, "left_anti")
+        tiles = leave(tiles, done, keys)
     return tiles
 
 

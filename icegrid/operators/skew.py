@@ -24,19 +24,29 @@ def same_key(left: str, right: str, keys: list[str]) -> Column:
     return cond
 
 
-def attach(
-    df: DataFrame, table: DataFrame, keys: list[str], how: str = "left", nulls: bool = False
-) -> DataFrame:
-    """Join a table with one row per key to the rows; NULL keys match only if asked for.
+def attach(df: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join a table with one row per key to the rows; NULL keys match, as in a grouping.
 
     Spark measures the table and sends it to the rows if it is small; otherwise both sides are
-    shuffled and oversized partitions of the rows are split (see session.SETTINGS).
+    shuffled and oversized partitions of the rows are split (see session.SETTINGS). Spark only
+    splits a join whose two sides were both shuffled for it. A plain equality would take over
+    the partitioning of the grouping that made the table; this one does not.
     """
     extra = [c for c in table.columns if c not in keys]
-    if nulls:
-        joined = df.alias("l").join(table.alias("r"), same_key("l", "r", keys), how)
-        return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
-    return df.join(table, keys, how).select(*df.columns, *extra)
+    joined = df.alias("l").join(table.alias("r"), same_key("l", "r", keys), how)
+    return joined.select("l.*", *[F.col(f"r.{c}") for c in extra])
+
+
+def keep(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key is in the table; split like attach."""
+    cond = same_key("l", "r", keys)
+    return df.alias("l").join(table.select(*keys).alias("r"), cond, "left_semi")
+
+
+def leave(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key is not in the table; split like attach."""
+    cond = same_key("l", "r", keys)
+    return df.alias("l").join(table.select(*keys).alias("r"), cond, "left_anti")
 
 
 def group_quantiles(
@@ -59,13 +69,12 @@ def group_quantiles(
     if hot.isEmpty():
         return vals.groupBy(*keys).agg(*exact)
     hot = F.broadcast(cut_lineage(hot))
-    rest = vals.alias("l").join(hot.alias("r"), same_key("l", "r", keys), "left_anti")
-    few = rest.groupBy(*keys).agg(*exact)
-    many = attach(vals, hot, keys, "inner", nulls=True)
+    few = leave(vals, hot, keys).groupBy(*keys).agg(*exact)
+    many = attach(vals, hot, keys, "inner")
     picked = None
     for name, p in probs.items():
         one = _select_rank(many, keys, p).withColumnRenamed("_q", name)
-        picked = one if picked is None else attach(picked, one, keys, "inner", nulls=True)
+        picked = one if picked is None else attach(picked, one, keys, "inner")
     return few.unionByName(picked)
 
 
@@ -98,7 +107,7 @@ def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.array_distinct(F.percentile_approx("_v", grid, 4 * SPLITTERS)).alias("_cuts")
     )
     bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    rows = attach(rows, F.broadcast(cuts), keys, "inner", nulls=True)
+    rows = attach(rows, F.broadcast(cuts), keys, "inner")
     rows = rows.withColumn("_b", bucket).drop("_cuts")
     sums = rows.groupBy(*keys, "_k", "_b").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,8 +115,8 @@ def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
     end = F.col("_before") + F.col("_c")
     wanted = sums.where((F.col("_before") <= F.col("_k") + 1) & (end > F.col("_k")))
     first = wanted.groupBy(*keys).agg(F.min("_before").alias("_skip"))
-    wanted = attach(wanted.drop("_k", "_c", "_before"), first, keys, "inner", nulls=True)
-    rows = attach(rows, F.broadcast(wanted), [*keys, "_b"], "inner", nulls=True)
+    wanted = attach(wanted.drop("_k", "_c", "_before"), first, keys, "inner")
+    rows = attach(rows, F.broadcast(wanted), [*keys, "_b"], "inner")
     return rows.withColumn("_k", F.col("_k") - F.col("_skip")).drop("_b", "_skip")
 
 

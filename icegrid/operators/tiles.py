@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from icegrid.functions import bin_centre, npmod, parse_tile_name
 from icegrid.operators.interp import interp2
 from icegrid.operators.raster import dilate, downsample, pad_canvas
+from icegrid.operators.skew import keep
 
 # Moves, in half tiles, from a centre to the tiles of each processing step.
 STEP_MOVES = {
@@ -56,7 +57,7 @@ def nearest_tile_dedupe(
     key = F.struct("_d", *(order or []), "x0", "y0")
     owner = seen.groupBy("_bx", "_by").agg(F.min_by(F.struct("x0", "y0"), key).alias("_o"))
     owner = owner.select("_bx", "_by", "_o.*")
-    return df.join(owner, ["_bx", "_by", "x0", "y0"], "left_semi").drop("_bx", "_by")
+    return keep(df, owner, ["_bx", "_by", "x0", "y0"]).drop("_bx", "_by")
 
 
 def neighbour_tiles(tiles: DataFrame, step: float, single: bool = False) -> DataFrame:
@@ -69,7 +70,7 @@ def neighbour_tiles(tiles: DataFrame, step: float, single: bool = False) -> Data
         (F.col("y0") + F.col("_m.j") * step).alias("ny0"),
     )
     there = tiles.select(F.col("x0").alias("nx0"), F.col("y0").alias("ny0")).distinct()
-    return near.join(there, ["nx0", "ny0"], "left_semi").select("x0", "y0", "nx0", "ny0")
+    return keep(near, there, ["nx0", "ny0"]).select("x0", "y0", "nx0", "ny0")
 
 
 def _moves(moves: list[tuple[int, int]]) -> Column:

@@ -67,12 +67,14 @@ def test_rank_distinct_crosses_blocks(spark):
 def test_attach_matches_null_keys(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
     table = spark.createDataFrame([(None, 5), (2, 6)], "k int, w int")
-    assert rows(skew.attach(df, table, ["k"], nulls=True), "v") == [(1, "a", None), (None, "b", 5)]
-    assert rows(skew.attach(df, table, ["k"]), "v") == [(1, "a", None), (None, "b", None)]
+    assert rows(skew.attach(df, table, ["k"]), "v") == [(1, "a", None), (None, "b", 5)]
+    assert rows(skew.keep(df, table, ["k"]), "v") == [(None, "b")]
+    assert rows(skew.leave(df, table, ["k"]), "v") == [(1, "a")]
 
 
 def test_hot_key_of_a_join_is_split(spark):
     small = {
+        "spark.sql.shuffle.partitions": "40",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
@@ -83,14 +85,18 @@ def test_hot_key_of_a_join_is_split(spark):
         spark.conf.set(k, v)
     try:
         key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).cast("int")
-        rows_ = spark.range(0, 300000, 1, 8).select(key.alias("k"), "id")
+        rows_ = spark.range(0, 300000, 1, 8).select(key.alias("k"), F.xxhash64("id").alias("h"))
         stats = rows_.groupBy("k").agg(F.count("*").alias("n"))
         out = skew.attach(rows_, stats, ["k"])
         # a grouping by the same key must not undo the split
-        total = out.groupBy("k").agg(F.sum("n").alias("s"), F.count("*").alias("c"))
+        total = out.groupBy("k").agg(F.sum("n").alias("s"), F.count("*").alias("c"), F.max("h").alias("h"))
         got = {r.k: (r.s, r.c) for r in total.collect()}
         assert got[7][0] == got[7][1] ** 2 and got[7][1] > 100000
         assert "skew=true" in total._jdf.queryExecution().executedPlan().toString()
+        some = skew.keep(rows_, stats.where("n > 5"), ["k"])
+        some = some.agg(F.count("*").alias("n"), F.max("h").alias("h"))
+        assert some.collect()[0]["n"] == 300000
+        assert "skew=true" in some._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
