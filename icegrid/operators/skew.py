@@ -14,6 +14,8 @@ from icegrid.session import cut_lineage
 # Largest group whose values the built-in percentile may hold in one task.
 GROUP_ROWS = 1 << 20
 SPLITTERS = 256
+# Most keys of large groups that are broadcast; beyond it they are joined like any table.
+BROADCAST_KEYS = 100_000
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:
@@ -59,16 +61,18 @@ def group_quantiles(
     """Exact, linearly interpolated quantiles per group; one row per group with any value.
 
     Runs one job, that counts the groups. Those up to group_rows go through the built-in
-    aggregate. There are at most rows / group_rows larger ones, so their keys are small enough
-    to broadcast; these are narrowed to the values around the wanted rank, twice by a factor
-    of about SPLITTERS, before anything is sorted.
+    aggregate. Larger ones, at most rows / group_rows, are narrowed to the values around the
+    wanted rank, twice by a factor of about SPLITTERS, before anything is sorted. Their keys
+    are broadcast if they count few.
     """
     vals = df.select(*keys, value.cast("double").alias("_v")).where("_v is not null")
     exact = [F.percentile("_v", p).alias(name) for name, p in probs.items()]
     hot = vals.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group_rows)
     if hot.isEmpty():
         return vals.groupBy(*keys).agg(*exact)
-    hot = F.broadcast(cut_lineage(hot))
+    hot = cut_lineage(hot)
+    if hot.count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     few = leave(vals, hot, keys).groupBy(*keys).agg(*exact)
     many = attach(vals, hot, keys, "inner")
     picked = None
@@ -107,7 +111,7 @@ def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
         F.array_distinct(F.percentile_approx("_v", grid, 4 * SPLITTERS)).alias("_cuts")
     )
     bucket = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    rows = attach(rows, F.broadcast(cuts), keys, "inner")
+    rows = attach(rows, cuts, keys, "inner")
     rows = rows.withColumn("_b", bucket).drop("_cuts")
     sums = rows.groupBy(*keys, "_k", "_b").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -116,7 +120,7 @@ def _narrow(rows: DataFrame, keys: list[str]) -> DataFrame:
     wanted = sums.where((F.col("_before") <= F.col("_k") + 1) & (end > F.col("_k")))
     first = wanted.groupBy(*keys).agg(F.min("_before").alias("_skip"))
     wanted = attach(wanted.drop("_k", "_c", "_before"), first, keys, "inner")
-    rows = attach(rows, F.broadcast(wanted), [*keys, "_b"], "inner")
+    rows = attach(rows, wanted, [*keys, "_b"], "inner")
     return rows.withColumn("_k", F.col("_k") - F.col("_skip")).drop("_b", "_skip")
 
 
