@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, database
+from checks import registry
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def db(sf_dir):
     return database(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, db, sf_dir, name):
     state, n, _, note = compare(
         spark, db, sf_dir, name, entry.queries()[name], entry.oracle_sql().get(name)
