@@ -32,8 +32,9 @@ MISS = 1e-6
 # A pair is verified if its sketches agree at least as often as the threshold less so many
 # standard deviations; beyond five a pair at the threshold is left out once in 3 million.
 DEVIATIONS = 5.0
-# Largest side of a block of bucket members that are compared with each other.
+# Sets, and hashes in them, of a block of bucket members that are compared with each other.
 BLOCK = 1024
+BLOCK_HASHES = 1 << 21
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _words = WordHashes()
@@ -194,8 +195,8 @@ def near_duplicates(
     and all are kept. Runs jobs and writes sketches to the shared folder.
 
     1. Buckets are bands with two sets or more; each member is checked with the smallest.
-    2. Where members other than the smallest are still in different components, these are
-       compared by sketch in blocks, and the pairs found checked. No bucket is cut.
+    2. Where members other than the smallest are still in different components, all of them are
+       compared, block by block; only links that join two components are written.
     A check compares the full sets. Similar pairs are missed with a chance of about MISS.
     """
     spark = docs.sparkSession
@@ -219,19 +220,13 @@ def near_duplicates(
     buckets = buckets.where("low <> high").drop("high")
     members = cut_lineage(attach(placed, buckets, ["band"], "inner"))
 
-    check = partial(_verified, ident=ident, sets=sets, threshold=threshold, size=size)
-    links = check(members.where("node <> low").select(
-        F.col("node").alias("a"), F.col("low").alias("b")
-    ).distinct())
+    links = _star_links(members, ident, sets, threshold, size)
     roots = components(links)
-    open_ = _unresolved(members, roots)
-    found = _blocked_pairs(open_, sets, threshold, block)
-    more = check(found)
-    if not more.isEmpty():
+    open_ = _open_blocks(members, roots, sets, threshold, block)
+    if not open_.isEmpty():
         known = roots.where("node <> root").select(
-            F.col("node").alias("u"), F.col("root").alias("v")
-        )
-        roots = components(known.unionAll(more))
+            F.col("node").alias("u"), F.col("root").alias("v"))
+        roots = components(known.unionAll(_block_links(open_, ident, sets, threshold, size)))
     return _classes(rows, roots, id_col)
 
 
@@ -250,100 +245,152 @@ def _classes(rows: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, ident: DataFrame, sets: DataFrame, threshold: float,
-              size: int) -> DataFrame:
-    """The pairs a, b of nodes that are similar, as links u, v: by size, sketch and full sets."""
-    side = sets.select("node", "n", "sketch")
-    for end in ("a", "b"):
-        pairs = attach(pairs, side.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
-                                          F.col("sketch").alias(f"s_{end}")), [end], "inner")
-        if end == "b":
-            near = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-6
-            pairs = pairs.where(near)
-    pairs = pairs.withColumn("same", _agreement(F.col("s_a"), F.col("s_b")))
-    pairs = pairs.where(F.col("same") >= least_agreement(threshold)).drop("same", "s_a", "s_b")
-    pairs = cut_lineage(pairs)
-    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    wanted = attach(sets.select("node", "seen"), wanted.withColumn("yes", F.lit(True)), ["node"],
-                    "inner").select("node", "seen.*")
+def _hashes(nodes: DataFrame, ident: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+    """node and its full set, made anew from one text for each of the nodes."""
+    wanted = attach(sets.select("node", "seen"), nodes.distinct().withColumn("yes", F.lit(True)),
+                    ["node"], "inner").select("node", "seen.*")
     wanted = cut_lineage(wanted.withColumn("key", F.xxhash64("id", "text_hash")))
     test = sieve(wanted, "key")
     texts = ident.withColumn("key", F.xxhash64("id", "text_hash")).where(test(F.col("key")))
     texts = attach(texts.drop("key"), wanted.drop("key"), ["id", "text_hash"], "inner")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    hashes = cut_lineage(texts.select("node", full_sets(F.col("text"), size).alias("set")))
+    return cut_lineage(texts.select("node", full_sets(F.col("text"), size).alias("set")))
+
+
+def _star_links(members: DataFrame, ident: DataFrame, sets: DataFrame, threshold: float,
+                size: int) -> DataFrame:
+    """Links u, v of members with the smallest of their bucket: by size, sketch and full sets."""
+    pairs = members.where("node <> low").select(
+        F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    side = sets.select("node", "n", "sketch")
+    for end in ("a", "b"):
+        pairs = attach(pairs, side.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
+                                          F.col("sketch").alias(f"s_{end}")), [end], "inner")
+    near = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-6
+    pairs = pairs.where(near).withColumn("same", _agreement(F.col("s_a"), F.col("s_b")))
+    pairs = pairs.where(F.col("same") >= least_agreement(threshold))
+    pairs = cut_lineage(pairs.drop("same", "s_a", "s_b"))
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b"))
+    hashes = _hashes(nodes, ident, sets, size)
     for end in ("a", "b"):
         pairs = attach(pairs, hashes.select(F.col("node").alias(end),
                                             F.col("set").alias(f"set_{end}")), [end], "inner")
     both = F.size(F.array_intersect("set_a", "set_b"))
     # in whole thousandths, so that a pair at the threshold is on the right side
-    thousandths = F.lit(round(threshold * 1000))
-    similar = both * 1000 >= thousandths * (F.col("n_a") + F.col("n_b") - both)
+    union = F.col("n_a") + F.col("n_b") - both
+    similar = both * 1000 >= F.lit(round(threshold * 1000)) * union
     return cut_lineage(pairs.where(similar).select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
-def _unresolved(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members, but the smallest, of the buckets where these are in several components."""
+def _open_blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, threshold: float,
+                 block: int) -> DataFrame:
+    """Members of several components in a bucket, without its smallest, that may be similar.
+
+    A bucket is cut into blocks by hash, of about block sets and BLOCK_HASHES hashes at most;
+    each pair of blocks i, j is a group. Only those members of a group remain whose sketch
+    agrees often enough with that of another component's member.
+    """
     named = attach(members.where("node <> low").select("band", "node"), roots, ["node"])
-    named = cut_lineage(named.withColumn("root", F.coalesce("root", "node")))
-    mixed = named.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"),
-                                      F.count("*").alias("count"))
-    mixed = mixed.where("x <> y").select("band", "count")
-    return attach(named, mixed, ["band"], "inner")
-
-
-def _blocked_pairs(open_: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
-    """Distinct pairs of different components whose sketches agree often enough."""
-    rows = attach(open_, sets.select("node", "n", "sketch"), ["node"], "inner")
-    blocks = F.ceil(F.col("count") / block).cast("int")
-    own = F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")
-    rows = rows.withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    named = named.withColumn("root", F.coalesce("root", "node"))
+    rows = cut_lineage(attach(named, sets.select("node", "n"), ["node"], "inner"))
+    mixed = rows.groupBy("band").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"),
+        F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_HASHES))
+        .cast("int").alias("blocks"))
+    rows = attach(rows, mixed.where("x <> y").select("band", "blocks"), ["band"], "inner")
+    rows = attach(rows, sets.select("node", "sketch", "bands"), ["node"], "inner")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("band", F.least("own", "other").alias("i"),
-                       F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sketch")
+                       F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sketch",
+                       "bands")
+    pick = partial(_by_group, partial(_likely, least_agreement(threshold), threshold))
+    return cut_lineage(_grouped(rows).mapInPandas(pick, rows.schema))
+
+
+def _block_links(open_: DataFrame, ident: DataFrame, sets: DataFrame, threshold: float,
+                 size: int) -> DataFrame:
+    """Links u, v that join all similar members of each group, by their full sets."""
+    hashes = _hashes(open_.select("node"), ident, sets, size)
+    rows = attach(open_, hashes, ["node"], "inner")
+    link = partial(_by_group, partial(_confirmed, least_agreement(threshold), threshold))
+    return cut_lineage(_grouped(rows).mapInPandas(link, "u long, v long"))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, "band", "i", "j").sortWithinPartitions("band", "i", "j")
-    least = least_agreement(threshold)
-    found = rows.mapInPandas(partial(_compare, least=least, threshold=threshold),
-                             "a long, b long")
-    return found.distinct()
+    rows = rows.repartition(parts, "band", "i", "j")
+    return rows.sortWithinPartitions("band", "i", "j", "node")
 
 
-def _compare(batches: Iterator[pd.DataFrame], least: int, threshold: float):
-    """Pairs within each run of rows with equal band, i, j. Runs may cross batches."""
-    rest: pd.DataFrame | None = None
+def _by_group(run, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """run on each stretch of rows with equal band, i, j; stretches may cross batches."""
+    keys = ["band", "i", "j"]
+    rest: list[pd.DataFrame] = []
     for batch in batches:
         if not len(batch):
             continue
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        last = batch[["band", "i", "j"]].eq(batch[["band", "i", "j"]].iloc[-1]).all(axis=1)
-        cut = int(np.flatnonzero(~last.to_numpy())[-1]) + 1 if not last.all() else 0
-        rest = batch.iloc[cut:]
-        yield from _pairs(batch.iloc[:cut], least, threshold)
-    if rest is not None:
-        yield from _pairs(rest, least, threshold)
-
-
-def _pairs(rows: pd.DataFrame, least: int, threshold: float):
-    if not len(rows):
-        return
-    key = rows[["band", "i", "j"]].to_numpy()
-    own, i, j = (rows[c].to_numpy() for c in ("own", "i", "j"))
-    node, root, n = (rows[c].to_numpy() for c in ("node", "root", "n"))
+        key = batch[keys].to_numpy()
+        cuts = (np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()
+        if rest and (rest[-1][keys].to_numpy()[-1] != key[0]).any():
+            cuts.insert(0, 0)
+        for lo, hi in zip([0, *cuts], [*cuts, None], strict=True):
+            if hi is None:
+                rest.append(batch.iloc[lo:])
+            else:
+                yield from run(pd.concat([*rest, batch.iloc[lo:hi]], ignore_index=True))
+                rest = []
+    if rest:
+        yield from run(pd.concat(rest, ignore_index=True))
+
+
+def _likely_pairs(rows: pd.DataFrame, least: int, threshold: float):
+    """(x, places y after x) of a group: pairs of different components, of near sizes and with
+    sketches that agree, in the first band that they share."""
+    own, node, root, n = (rows[c].to_numpy() for c in ("own", "node", "root", "n"))
+    inner = rows["i"].iat[0] == rows["j"].iat[0]
+    band = rows["band"].iat[0]
     sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-    new = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-    a, b = [], []
-    for lo, hi in zip(np.r_[0, new], np.r_[new, len(rows)], strict=True):
-        for x in range(lo, hi - 1):
-            y = np.arange(x + 1, hi)
-            y = y[(root[y] != root[x]) & ((i[x] == j[x]) | (own[y] != own[x]))]
-            y = y[np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x]) - 1e-6]
-            if len(y):
-                y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
-                a.append(np.maximum(node[x], node[y]))
-                b.append(np.minimum(node[x], node[y]))
-    if a:
-        yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+    bands = np.array(rows["bands"].tolist(), np.int64)
+    at = int(np.flatnonzero(bands[0] == band)[0])
+    for x in range(len(rows) - 1):
+        y = np.arange(x + 1, len(rows))
+        y = y[(root[y] != root[x]) & (node[y] != node[x]) & (inner | (own[y] != own[x]))]
+        y = y[np.minimum(n[y], n[x]) >= threshold * np.maximum(n[y], n[x]) - 1e-6]
+        if len(y):
+            y = y[(bands[y, :at] != bands[x, :at]).all(axis=1)]
+        if len(y):
+            y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
+        if len(y):
+            yield x, y
+
+
+def _likely(least: int, threshold: float, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    used = np.zeros(len(rows), bool)
+    for x, y in _likely_pairs(rows, least, threshold):
+        used[x] = True
+        used[y] = True
+    if used.any():
+        yield rows[used]
+
+
+def _confirmed(least: int, threshold: float, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    thousandths = round(threshold * 1000)
+    node, sets = rows["node"].to_numpy(), rows["set"]
+    label = np.unique(rows["root"], return_inverse=True)[1]
+    u, v = [], []
+    for x, others in _likely_pairs(rows, least, threshold):
+        for y in others:
+            if label[x] == label[y]:
+                continue
+            a, b = sets.iat[x], sets.iat[y]
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if both * 1000 >= thousandths * (len(a) + len(b) - both):
+                label[label == label[y]] = label[x]
+                u.append(node[x])
+                v.append(node[y])
+    if u:
+        yield pd.DataFrame({"u": u, "v": v})
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = SHINGLE,

@@ -21,10 +21,9 @@ def sieve(keys: DataFrame, key: str, bits: int = BITS):
     """
     word = F.shiftrightunsigned(F.pmod(F.col(key), F.lit(bits)).cast("int"), 6)
     bit = F.expr(f"shiftleft(1L, cast(pmod(`{key}`, 64) as int))")
-    rows = keys.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).collect()
+    rows = keys.groupBy(word.alias("w")).agg(F.bit_or(bit).alias("b")).toArrow()
     table = np.zeros(bits // 64, np.uint64)
-    for w, b in rows:
-        table[w] = b & 0xFFFFFFFFFFFFFFFF
+    table[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
     shared = keys.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("boolean")
