@@ -14,34 +14,48 @@ from pyspark.sql import functions as F
 
 from icegrid.llm import bpe, decontaminate, language, minhash, pii
 from icegrid.llm.queries import VOCABULARY
-from icegrid.session import scratch_dir, tune
+from icegrid.llm.text import tune_texts
+from icegrid.session import scratch_dir
 
 SIMILARITY = 0.8
 
 
+def _staged(stage):
+    """The stage with the session's settings for texts."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(tune_texts(spark), docs, sf_dir)
+
+    return run_stage
+
+
+@_staged
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in a known language; those without letters or without evidence go."""
     model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
     return language.keep_identified(docs, model)
 
 
+@_staged
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    tune(spark)
     return minhash.without_near_duplicates(docs, SIMILARITY)
 
 
+@_staged
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.decontaminate(docs, benchmark)
 
 
+@_staged
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind."""
     return pii.redact_documents(docs, pii.fit(docs))
 
 
+@_staged
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with token_ids, n_tokens and whether these decode to the text.
 

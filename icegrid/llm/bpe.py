@@ -24,7 +24,7 @@ from icegrid.llm.text import chunks
 SHORT = 64
 LOCKSTEP = 1 << 18
 # Units of text whose ids each worker remembers; twice as many at most.
-REMEMBERED = 350_000
+REMEMBERED = 200_000
 _NONE = 1 << 30
 _WIDTH = [1 << max(1, (n - 1).bit_length()) for n in range(SHORT + 1)]
 

@@ -20,7 +20,7 @@ from icegrid.llm import (
     sharding,
     urls,
 )
-from icegrid.session import tune
+from icegrid.llm.text import tune_texts
 
 SHARDS = 40
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,7 +29,7 @@ LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills|free-bets)\."
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune_texts(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,9 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
+from pyspark.sql import SparkSession
+
+from icegrid.session import tune
 
 # Bytes other than 0-9, a-z (after lower-casing A-Z) and non-ASCII ones separate words.
 ALNUM = bytes(
@@ -13,6 +16,14 @@ ALNUM = bytes(
     for b in range(256)
 )
 CHUNK_CHARS = 1 << 21
+# Whole texts that Spark hands to a Python worker at once; results of a batch are held together.
+BATCH_ROWS = 1000
+
+
+def tune_texts(spark: SparkSession) -> SparkSession:
+    """The library's settings, with batches that suit rows of long texts."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
 
 
 def alnum_words(text: str | None) -> list[bytes]:
