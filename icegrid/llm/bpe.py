@@ -23,7 +23,7 @@ from icegrid.llm.text import chunks
 # Pieces up to this many bytes merge in lockstep, at most LOCKSTEP tree nodes at once.
 SHORT = 64
 LOCKSTEP = 1 << 18
-# Units of text whose ids each worker remembers; twice as many at most.
+# Units of text whose ids each task remembers; twice as many at most.
 REMEMBERED = 200_000
 _NONE = 1 << 30
 _WIDTH = [1 << max(1, (n - 1).bit_length()) for n in range(SHORT + 1)]
@@ -222,6 +222,10 @@ class Bpe:
             self.new.update(zip(missing, values, strict=True))
         return odd
 
+    def forget(self) -> None:
+        """Give back what is remembered, so that idle workers are small."""
+        self.new, self.old, self.pieces = {}, {}, {}
+
     def pieces_of(self, parts: list[str]) -> list[bytes]:
         if len(self.pieces) > REMEMBERED:
             self.pieces = {}
@@ -254,7 +258,7 @@ class Bpe:
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _shared(tokens: tuple[bytes, ...], pattern: str) -> Bpe:
     return Bpe(tokens, pattern)
 
@@ -264,8 +268,8 @@ def encode(text: Column, tokens: tuple[bytes, ...], pattern: str, spark) -> Colu
 
     A match that is a token is its id; else its bytes are merged pair by pair, least rank
     first, leftmost among equals. Null and empty texts have no ids. The tokens (read_ranks)
-    are sent to the tasks, so their file need not be on every machine. Each worker remembers
-    a bounded number of units.
+    are sent to the tasks, so their file need not be on every machine. Each task remembers a
+    bounded number of units.
     """
     shared = spark.sparkContext.broadcast(tokens)
 
@@ -281,6 +285,7 @@ def encode(text: Column, tokens: tuple[bytes, ...], pattern: str, spark) -> Colu
             flat = np.concatenate(values) if values else np.zeros(0, "<i4")
             yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()),
                                            pa.array(flat, pa.int32()))
+        bpe.forget()
 
     return run.asNondeterministic()(text)
 

@@ -22,6 +22,8 @@ FIT_DOCUMENTS = 20_000
 VOCABULARY = 60_000
 GRAMS = 20_000
 LEAST_SCORE = 0.3
+# Words whose rows a task remembers.
+REMEMBERED = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -77,7 +79,7 @@ class Model:
             table = self.tables[n]
             rows = [table[g] for g in grams_of(word, n) if g in table]
             n -= 1
-        if len(self.cache) >= 200_000:
+        if len(self.cache) >= REMEMBERED:
             self.cache.clear()
         self.cache[word] = rows
         return rows
@@ -173,6 +175,7 @@ def identify(text: Column, model: Model, spark) -> Column:
         for series in texts:
             yield pd.DataFrame([model.predict(t) for t in series],
                                columns=["lang_pred", "score"])
+        model.cache.clear()
 
     return run.asNondeterministic()(text)
 

@@ -37,7 +37,6 @@ BLOCK = 1024
 BLOCK_HASHES = 1 << 21
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-_words = WordHashes()
 
 
 def bands_for(threshold: float, t: int = COORDINATES) -> tuple[int, int]:
@@ -53,14 +52,15 @@ def least_agreement(threshold: float, t: int = COORDINATES) -> int:
     return max(1, int(np.floor(t * threshold - DEVIATIONS * np.sqrt(t * threshold * (1 - threshold)))))
 
 
-def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None], size: int = SHINGLE,
+                 hashes: WordHashes | None = None) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of the runs of size words of each text.
 
     A text with fewer words is one run; one without words has the empty set.
     """
     words = [blank_words(t) for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
-    flat = _words.of([w for part in words for w in part])
+    flat = (WordHashes() if hashes is None else hashes).of([w for part in words for w in part])
     del words
     starts = np.concatenate([[0], np.cumsum(counts)])
     factor = np.uint64(0x9E3779B97F4A7C15)
@@ -116,10 +116,11 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sign(texts: Iterator[pd.Series], bands: int, rows: int, size: int) -> Iterator[pd.DataFrame]:
+    hashes = WordHashes()
     for series in texts:
         parts = []
         for part in chunks(series):
-            sets = shingle_sets(part, size)
+            sets = shingle_sets(part, size, hashes)
             sketch = sketches(sets)
             keys = band_keys(sketch, bands, rows)
             bytes_ = (mix(sketch) >> np.uint64(56)).astype(np.uint8)
@@ -153,10 +154,11 @@ def full_sets(text: Column, size: int = SHINGLE) -> Column:
 
     @F.pandas_udf("array<long>")
     def make(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
         for series in texts:
             out = []
             for part in chunks(series):
-                out += [s.view(np.int64) for s in shingle_sets(part, size)]
+                out += [s.view(np.int64) for s in shingle_sets(part, size, hashes)]
             yield pd.Series(out, dtype=object)
 
     return make.asNondeterministic()(text)

@@ -53,7 +53,7 @@ def chunks(texts: Iterable[str | None], limit: int = CHUNK_CHARS) -> Iterator[li
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a number of entries."""
 
-    def __init__(self, entries: int = 400_000):
+    def __init__(self, entries: int = 200_000):
         super().__init__()
         self.entries = entries
 
