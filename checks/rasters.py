@@ -532,7 +532,8 @@ select file, cast(o_custkey as varchar) job, cast(arg_min(xk, k) filter (where k
  arg_max(cast(floor(p) as bigint), k) filter (where kind = 1) memory_used_k,
  arg_max(cast(floor(p) as bigint), k) filter (where kind = 2) memory_limit_k,
  count(*) filter (where kind = 5) n_done,
- case when max(case when kind = 3 and p > 300000 then 1 else 0 end) = 1 then 'killed'
+ case when count(*) filter (where kind = 5) > 1 then 'complete'
+  when max(case when kind = 3 and p > 300000 then 1 else 0 end) = 1 then 'killed'
   when max(case when kind = 4 and p > 200000 then 1 else 0 end) = 1 then 'error'
   when count(*) filter (where kind = 5) > 0 then 'complete' else 'not run' end state
 from (select distinct file, o_custkey, k, kind, p, xk from l) group by file, o_custkey""")

@@ -34,16 +34,18 @@ def edit_list(spark: SparkSession) -> DataFrame:
 
 
 def apply_edit_list(df: DataFrame, edits: DataFrame, tile: list[str]) -> DataFrame:
-    """Drop listed (track, cycle) pairs; a placed rule drops them only in tiles near its place."""
+    """Drop listed (track, cycle) pairs; a placed rule drops them only in tiles near its place.
+
+    A tile's place is the mean of all its points, those to be dropped included.
+    """
     pair = ["rgt", "cycle"]
-    always = edits.where("near_dist is null").select(*pair)
-    df = leave(df, always, pair)
     placed = edits.where("near_dist is not null")
     means = df.groupBy(*tile).agg(F.avg("x").alias("_mx"), F.avg("y").alias("_my"))
     off = F.greatest(F.abs(F.col("_mx") - F.col("near_x")), F.abs(F.col("_my") - F.col("near_y")))
     # few points carry a listed pair, so only their tiles are measured against the place
     hits = df.select(*tile, *pair).join(placed, pair).distinct()
     local = hits.join(means, tile).where(off < F.col("near_dist")).select(*tile, *pair)
+    df = leave(df, edits.where("near_dist is null").select(*pair), pair)
     return leave(df, local, [*tile, *pair])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ from icegrid.operators.raster import dilate, fill_gaps, open_mask
 from icegrid.operators.skew import attach
 
 WATER_DENSITY = 1.0
-FIRN_PAD = 2.6e4  # metres of model read around the points; three times that where it has gaps
 # Mask bands after this year are used, and the epoch that is left out; the
 # "add" patch holds before its year, the "remove" patch after its year.
 BANDS_AFTER, BAND_DROPPED = 2018.0, 2021.2
@@ -47,6 +48,29 @@ def apply_tides(
     return out.withColumn("z", F.col("z") - (F.col("tide_ocean") + F.col("dac")))
 
 
+def _near_points(
+    model: DataFrame, points: DataFrame, spacing: float, t_start: float, t_step: float, pad: int
+) -> DataFrame:
+    """Cells of a model within pad cells of a point, in the epochs around those points.
+
+    Cells are kept by bins of pad cells: those that hold points and the bins beside them.
+    """
+    bins = points.select(
+        F.floor(F.col("x") / (spacing * pad)).alias("_i"),
+        F.floor(F.col("y") / (spacing * pad)).alias("_j"),
+        ((F.col("time") - t_start) / t_step).alias("_t"),
+    )
+    spans = bins.groupBy("_i", "_j").agg(F.floor(F.min("_t")).alias("_a"), (F.floor(F.max("_t")) + 1).alias("_b"))
+    for c in ("_i", "_j"):
+        beside = F.explode(F.array(*[F.col(c) + k for k in (-1, 0, 1)]))
+        spans = spans.withColumn(c, beside)
+    spans = spans.groupBy("_i", "_j").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b"))
+    cells = model.withColumns({
+        "_i": F.floor(F.col("ix") / pad), "_j": F.floor(F.col("iy") / pad)})
+    kept = attach(cells, spans, ["_i", "_j"], "inner").where(F.col("it").between(F.col("_a"), F.col("_b")))
+    return kept.drop("_i", "_j", "_a", "_b")
+
+
 def firn_correction(
     points: DataFrame, model: DataFrame, spacing: float, t_start: float, t_step: float,
     fields: dict[str, str] | None = None, infer_fac: bool = False, rho_water: float = WATER_DENSITY,
@@ -55,12 +79,14 @@ def firn_correction(
     """Correct heights for firn and mass changes of a gridded model, undoing an older one.
 
     Gaps of the model are filled per epoch before it is interpolated; fields maps the names
-    SMB_a and FAC (or h_a, from which FAC is inferred) to model columns.
+    SMB_a and FAC (or h_a, from which FAC is inferred) to model columns. Only the model's cells
+    and epochs near points are filled and joined.
     """
     second = "h_a" if infer_fac else "FAC"
     fields = fields or {"SMB_a": "SMB_a", second: second}
     names = list(fields.values())
-    filled = fill_gaps(model, names, width, ["it"])
+    near = _near_points(model, points, spacing, t_start, t_step, math.ceil(4 * width) + 2)
+    filled = fill_gaps(near, names, width, ["it"])
     out = interp3(
         points, filled, {fields["SMB_a"]: "_smb", fields[second]: "_other"}, spacing,
         t_start, t_step,

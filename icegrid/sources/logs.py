@@ -24,7 +24,7 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 def log_report(lines: DataFrame) -> DataFrame:
     """Per log: job, tile centre in km (first named), memory used and limit (last named), state.
 
-    Killed outranks error; a job with two tiles done, or one done and no trouble, is complete.
+    A job with two tiles done, or one done and no trouble, is complete. Killed outranks error.
     """
 
     def found(pattern: str, group: int = 1):
@@ -52,7 +52,8 @@ def log_report(lines: DataFrame) -> DataFrame:
         F.count(F.when(F.col("done"), 1)).alias("n_done"),
     )
     state = (
-        F.when(F.col("_killed"), "killed").when(F.col("_error"), "error")
+        F.when(F.col("n_done") > 1, "complete")
+        .when(F.col("_killed"), "killed").when(F.col("_error"), "error")
         .when(F.col("n_done") > 0, "complete").otherwise("not run")
     )
     return out.select(

@@ -151,10 +151,52 @@ def test_errors_grow_in_a_gap_and_coarse_errors_agree(spark):
     assert np.abs(up - z0)[10:90].max() / z0.max() < 0.35
 
 
-def test_too_many_unknowns_are_refused(spark):
-    data = frame(spark, *change_parts())
-    with pytest.raises(ValueError, match="coarser"):
-        fit_errors(system_rows(data, SPEC), SPEC, limit=10)
+@pytest.mark.parametrize("params", [(), ("cycle",)])
+def test_errors_equal_the_inverse_of_the_whole_matrix(spark, params):
+    spec = replace(TIME, z0_spacing=100.0, dz_spacing=200.0, height=400.0, bias_params=params)
+    data = frame(spark, *change_parts()).withColumns({
+        "cycle": F.rint(F.col("time") * 2).cast("int") + 10_005, "sigma_corr": F.lit(0.2)})
+    rows = system_rows(data, spec, bias_groups(data, params) if params else None)
+    got = fit_errors(rows, spec, lags=(1, 2), scales=(600,)).toPandas()
+    system = TileSystem(rows.toPandas(), spec)
+    cov = np.linalg.inv(system.dense())
+    at = {int(n): k for k, n in enumerate(system.nodes)}
+    nx, ny = spec.shape(spec.dz_spacing)
+    for r in got.itertuples():
+        c = np.zeros(system.n)
+        if r.field in ("z0", "bias"):
+            c[at[r.node]] = 1.0
+        else:
+            per = max(1, round(r.scale_m / spec.dz_spacing))
+            cells = [(j, i) for j in range(r.j * per, min((r.j + 1) * per, ny))
+                     for i in range(r.i * per, min((r.i + 1) * per, nx))]
+            for j, i in cells:
+                for it, sign in ((r.it + r.lag, 1), (r.it, -1))[: 1 + (r.lag > 0)]:
+                    node = spec.n_z0 + (it * ny + j) * nx + i
+                    if node in at:
+                        c[at[node]] += sign / len(cells) / (r.lag * spec.dt or 1)
+        assert r.sigma == pytest.approx(np.sqrt(max(c @ cov @ c, 0)), rel=1e-4, abs=1e-6)
+    assert (got["field"] == "bias").any() == bool(params)
+
+
+def test_an_unfinished_solution_is_refused(spark, monkeypatch):
+    data = frame(spark, part(sine(), -0.5), part(sine(), 0.5))
+    system = TileSystem(system_rows(data, SPEC).toPandas(), SPEC)
+    monkeypatch.setattr("icegrid.fit.solve.DENSE_NODES", 1)
+    with pytest.raises(RuntimeError, match="after 3 rounds"):
+        system.solve(max_rounds=3)
+
+
+def test_bias_numbers_do_not_clash(spark):
+    from icegrid.fit.design import bias_key
+
+    df = spark.createDataFrame([(1, 10001, 0, 0), (2, 1, 0, 0), (1387, 4095, 3, 1)], "a long, b long, c long, d long")
+    for params in (("a", "b"), ("a", "b", "c"), ("b", "a", "d", "c")):
+        if params[0] == "a":
+            assert df.select(bias_key(params)).distinct().count() == 3
+    assert df.where("b < 4096").select(bias_key(("a", "b", "c", "d"))).distinct().count() == 2
+    with pytest.raises(Exception, match="cannot number a bias"):
+        df.select(bias_key(("a", "b", "c", "d"))).collect()
 
 
 def test_large_systems_agree_with_direct_ones(spark, monkeypatch):

@@ -188,6 +188,17 @@ def test_known_edits(spark):
     assert rows(out.select("rgt", "cycle", "tile"), "rgt", "tile") == [(741, 8, 0), (1092, 1, 2)]
 
 
+def test_a_tile_is_placed_before_its_edits(spark):
+    far = [(741, 7, 5e5, 3e6, 0)] * 5
+    near = [(1092, 1, 480000.0, -1360000.0, 0)] * 5
+    df = spark.createDataFrame(far + near, "rgt int, cycle int, x double, y double, tile int")
+    kept = filters.apply_edit_list(df, filters.edit_list(spark), ["tile"])
+    # the mean of all ten points is far from the named place, so the placed rule does not hold
+    assert {r.rgt for r in kept.collect()} == {1092}
+    beside = df.withColumn("y", F.when(F.col("rgt") == 741, -1.3e6).otherwise(F.col("y")))
+    assert filters.apply_edit_list(beside, filters.edit_list(spark), ["tile"]).count() == 0
+
+
 def test_tile_boxes_are_closed(spark):
     df = spark.createDataFrame([(20000.0, 0.0), (9999.0, 0.0), (30000.0, 30000.0)], "x double, y double")
     got = rows(tiles.assign_tiles(df, 6e4, 4e4).select("x", "x0", "y0"), "x", "x0", "y0")
