@@ -172,5 +172,5 @@ def region_products(spark, d):
     dem = out["dem"].select("x", "y", F.col("h").alias("value"), F.col("h_sigma").alias("sigma"))
     change = out["change"].select(
         "scale_m", "lag", "x", "y", "time", F.coalesce("delta_h", "dhdt").alias("value"),
-        F.col("delta_h_sigma").alias("sigma"))
+        F.coalesce("delta_h_sigma", "dhdt_sigma").alias("sigma"))
     return change.unionByName(dem, allowMissingColumns=True)

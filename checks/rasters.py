@@ -382,7 +382,7 @@ rt as (select a.ix, a.iy, a.it, a.t+lag/8e0 t, lag, cast(null as double) dz, (b.
 fine as (select * from (select ix, iy, it, t, 0 lag, dz, cast(null as double) dzdt, cell_area, sigma_dz, "count", misfit_rms, misfit_scaled_rms from late
  union all select * from rt) where t between 2019+0.25e0*lag/2 and 2050)"""
 AVERAGED = " union all ".join(f"""
-select {s} scale_m, lag, (floor(ix/{s // 10000}e0)+0.5)*{s} x, (floor(iy/{s // 10000}e0)+0.5)*{s} y, t, sum(cell_area) a,
+select {s} scale_m, lag, it, (floor(ix/{s // 10000}e0)+0.5)*{s} x, (floor(iy/{s // 10000}e0)+0.5)*{s} y, t, sum(cell_area) a,
  sum(cell_area*dz)/nullif(sum(cell_area) filter (where dz is not null),0) dz,
  sum(cell_area*dzdt)/nullif(sum(cell_area) filter (where dzdt is not null),0) dzdt,
  null sigma_dz, null as "count", null misfit_rms, null misfit_scaled_rms
@@ -390,15 +390,25 @@ from fine group by lag, floor(ix/{s // 10000}e0), floor(iy/{s // 10000}e0), it,
 
 
 @query("change_product", "SNK-4 SNK-6 WIN-1 WIN-2 AGG-6 PRJ-8", sql("pts dz", f"""
-with {CHANGE}, everything as (select 10000 scale_m, lag, ix*1e4 x, iy*1e4 y, t, cell_area a, dz, dzdt, sigma_dz, "count", misfit_rms, misfit_scaled_rms from fine
- union all {AVERAGED})
+with {CHANGE}, everything as (select 10000 scale_m, lag, it, ix*1e4 x, iy*1e4 y, t, cell_area a, dz, dzdt, sigma_dz, "count", misfit_rms, misfit_scaled_rms from fine
+ union all {AVERAGED}),
+known as (select *, case when scale_m = 10000 and lag in (1, 4) or scale_m = 20000 and lag in (0, 4)
+  then 0.5e0/(lag+1) + it/100e0 end s from everything)
 select scale_m, lag, x, y, {r('(t-2018)*365.25e0', '"time"')}, {r('nullif(a, 0)/1e6', 'ice_area')}, {r('case when a <> 0 then dz end', 'delta_h')},
- {r('case when a <> 0 then dzdt end', 'dhdt')}, {r('case when a <> 0 then sigma_dz end', 'delta_h_sigma')},
- {r('"count"', 'data_count')}, {r('misfit_rms', 'misfit_rms')}, {r('misfit_scaled_rms', 'misfit_scaled_rms')} from everything""")
+ {r('case when a <> 0 then dzdt end', 'dhdt')},
+ {r('case when a <> 0 and lag = 0 then coalesce(sigma_dz, s) end', 'delta_h_sigma')},
+ {r('case when a <> 0 and lag > 0 then s end', 'dhdt_sigma')},
+ {r('"count"', 'data_count')}, {r('misfit_rms', 'misfit_rms')}, {r('misfit_scaled_rms', 'misfit_scaled_rms')} from known""")
     )
 def change_product(spark, d):
     late = dz(spark, d).withColumn("t", F.col("t") + 23)
-    out = products.change_product(late, 1e4, scales=(20000, 40000))
+    sigma = (F.lit(0.5) / (F.col("lag") + 1) + F.col("it") / F.lit(100.0)).alias("sigma")
+    place = lambda s: [
+        F.lit(s).alias("scale_m"), *[F.floor(F.col(c) * 1e4 / s).cast("int").alias(c) for c in ("ix", "iy")], "it"]
+    lag = lambda *k: F.explode(F.array(*[F.lit(x) for x in k])).alias("lag")
+    errors = late.select(*place(10000), lag(1, 4)).unionByName(late.select(*place(20000), lag(0, 4)))
+    errors = errors.distinct().select("*", sigma)
+    out = products.change_product(late, 1e4, scales=(20000, 40000), errors=errors)
     area = (F.col("ice_area") / 1e6).alias("ice_area")
     return rounded(out.select(*[area if c == "ice_area" else c for c in out.columns]))
 
@@ -593,7 +603,8 @@ ma as (select 40000 scale_m, lag, ix*4e4 x, iy*4e4 y, t, cell_area a, dz, dzdt,
 @query("monthly_change_product", "SNK-5", sql("pts", f"""
 with {MONTHS} select scale_m, lag, x, y, {r('(t-2018)*365.25e0', '"time"')}, {r('nullif(a, 0)/1e6', 'ice_area')},
  {r('case when a <> 0 then dz end', 'delta_h')}, {r('case when a <> 0 then dzdt end', 'dhdt')},
- {r('case when a <> 0 then sigma_dz end', 'delta_h_sigma')}, {r('"count"', 'data_count')} from ma"""))
+ {r('case when a <> 0 then sigma_dz end', 'delta_h_sigma')}, cast(null as double) dhdt_sigma,
+ {r('"count"', 'data_count')} from ma"""))
 def monthly_change_product(spark, d):
     it = F.floor((F.col("time") - 1995) * 12).cast("int")
     m = pts(spark, d).groupBy(

@@ -317,20 +317,22 @@ def change_mask_by_geoid(spark, d):
 
 
 @query("nation_rings", "AGG-12 JON-10", """
-with v as (select s_nationkey, row_number() over (partition by s_nationkey order by s_suppkey)-1 seq,
+with v as (select s_nationkey, s_suppkey // 250 ring,
    cast((s_suppkey*37) % 360 - 180 as double) lon, 60 + (s_suppkey*11 % 300)/10e0 lat from supplier)
-select s_nationkey, min(lon) filter (where abs(lat) <= 88) lon_min, max(lon) filter (where abs(lat) <= 88) lon_max,
+select s_nationkey, ring, min(lon) filter (where abs(lat) <= 88) lon_min, max(lon) filter (where abs(lat) <= 88) lon_max,
   min(lat) lat_min, max(lat) lat_max, count(*) n_edges from v group by all""")
 def nation_rings(spark, d):
-    """Extent and number of edges of one ring per nation, read from coordinate lists."""
+    """Extent and number of edges of rings of up to 250 suppliers of a nation, from lists."""
     from icegrid.operators.aggregate import polygon_bounds
 
     s = table(spark, d, "supplier").withColumn("p", F.array(
         ((F.col("s_suppkey") * 37) % 360 - 180).cast("double"), 60 + (F.col("s_suppkey") * 11 % 300) / F.lit(10.0)))
-    rings = s.groupBy("s_nationkey").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", "p"))), lambda e: e["p"]).alias("ring"))
-    v = polygons.ring_vertices(rings, "ring", ["s_nationkey"])
+    keys = ["s_nationkey", "ring"]
+    s = s.withColumn("ring", F.floor(F.col("s_suppkey") / 250))
+    rings = s.groupBy(*keys).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", "p"))), lambda e: e["p"]).alias("points"))
+    v = polygons.ring_vertices(rings, "points", keys)
     edges = polygons.polygon_edges(
-        v.withColumnsRenamed({"lon": "x", "lat": "y"}), ["s_nationkey"])
-    n = edges.groupBy("s_nationkey").agg(F.count("*").alias("n_edges"))
-    return polygon_bounds(v, ["s_nationkey"]).join(n, "s_nationkey")
+        v.withColumnsRenamed({"lon": "x", "lat": "y"}), keys)
+    n = edges.groupBy(*keys).agg(F.count("*").alias("n_edges"))
+    return polygon_bounds(v, keys).join(n, keys)

@@ -194,8 +194,11 @@ tpts as (select p.* exclude (cx, cy), (cx+i.d)*4e4 x0, (cy+j.d)*4e4 y0 from (sel
 
 
 def polys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One triangle around each supplier's first, middle and last kind of place, as edges."""
-    p = pts(spark, sf_dir)
+    """One triangle between three places of each supplier in one box of 200 km, as edges."""
+    p = pts(spark, sf_dir).withColumn("box", F.floor(F.col("ref_pt") / 2000))
+    turn = F.struct((F.col("ref_pt") * 7919 + F.col("sid") * 31) % 100003, F.col("ref_pt"))
+    home = p.groupBy("sid").agg(F.min_by("box", turn).alias("box"))
+    p = p.join(home, ["sid", "box"])
     corner = lambda k: F.min_by(
         F.struct((F.col("x") + 0.25).alias("x"), (F.col("y") + 0.125).alias("y")),
         F.struct((F.col("ref_pt") * k) % 1009, F.col("ref_pt")),
@@ -212,11 +215,12 @@ def polys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 POLYS = """
+home as (select sid, arg_min(ref_pt // 2000, ((ref_pt*7919 + sid*31) % 100003)*100000000 + ref_pt) box from pts group by 1),
 tri as (select sid poly_id,
    arg_min({'x': x+0.25, 'y': y+0.125}, ((ref_pt*1)%1009)*100000000 + ref_pt) a,
    arg_min({'x': x+0.25, 'y': y+0.125}, ((ref_pt*17)%1009)*100000000 + ref_pt) b,
    arg_min({'x': x+0.25, 'y': y+0.125}, ((ref_pt*401)%1009)*100000000 + ref_pt) c
-   from pts group by 1),
+   from pts join home using (sid) where ref_pt // 2000 = box group by 1),
 polys as (select poly_id, a.x x1, a.y y1, b.x x2, b.y y2 from tri
    union all select poly_id, b.x, b.y, c.x, c.y from tri
    union all select poly_id, c.x, c.y, a.x, a.y from tri)"""
