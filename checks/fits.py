@@ -59,7 +59,7 @@ def normal_sums(spark, d):
 
 @query("bias_groups", "FIT-5", sql("pts tpts", f"""
 select x0, y0, rgt, "cycle", pair, {r('median(sigma_corr)', 'expected')},
-  cast(1099511627776 as bigint) + (cast(rgt as bigint)*10000+"cycle")*10000+pair node from tpts group by all"""))
+  cast(1099511627776 as bigint) + (cast(rgt as bigint)*131072+"cycle")*131072+pair node from tpts group by all"""))
 def bias_table(spark, d):
     return rounded(bias_groups(tpts(spark, d), ("rgt", "cycle", "pair")))
 
@@ -90,7 +90,7 @@ def surface_fit(spark, d):
     return solution_tables(fit_once(p, BY_CYCLE, biases), BY_CYCLE)["dz"]
 
 
-@query("masked_fit", "FIT-14 FIT-13 AGG-6")
+@query("masked_fit", "FIT-14 AGG-6")
 def masked_fit(spark, d):
     """Constraints are relaxed off the narrowed mask; the surface is averaged to the change grid."""
     p = tpts(spark, d)
@@ -105,7 +105,7 @@ def edited_fit(spark, d):
     return fit["data"].select("x0", "y0", "oid", "lno", "ref_pt", "z", "z_est", "three_sigma_edit")
 
 
-@query("fit_errors", "FIT-10 FIT-11 RAS-6 JON-3")
+@query("fit_errors", "FIT-10 RAS-6 JON-3")
 def error_fit(spark, d):
     """Errors on a coarser grid, brought to the spacing of the fit."""
     coarse = SPEC.coarser(2, 1)

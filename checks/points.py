@@ -305,7 +305,7 @@ def robust_spread(spark, d):
     return rounded(aggregate.robust_spread(pts(spark, d), ["sid"], F.col("z") - F.col("dem_h")))
 
 
-@query("prepared_points", "SNK-7 FLT-2 FLT-6 AGG-4", sql("pts tpts", """
+@query("prepared_points", "FLT-2 FLT-6", sql("pts tpts", """
 with s as (select * from tpts where sigma < 0.2e0),
 q as (select *, floor((x-(x0-3e4))/7500) bi, floor((y-(y0-3e4))/7500) bj, z-dem_h r from s),
 m as (select x0, y0, bi, bj, median(r) med from q group by all)
@@ -320,7 +320,7 @@ def prepared_points(spark, d):
         F.count("*").alias("n"), F.count(F.when(F.col("three_sigma_edit"), 1)).alias("n_used"))
 
 
-@query("reconciled_sensors", "SET-7 SET-3", """
+@query("reconciled_sensors", "SET-7", """
 with s as (select cast(o_orderpriority as varchar) sensor, cast(o_custkey % 11 as int) file_order,
    cast(min(o_orderkey) % 5 as int) num from orders group by all),
 f as (select sensor, row_number() over (order by min(file_order*1000+num), sensor) new_num from s group by sensor)

@@ -76,7 +76,7 @@ def tile_centres_coarse(spark, d):
     return tile_ops.tile_centres_coarse(fmask(spark, d), 5e3, 4e4, 20)
 
 
-@query("tiles_of_polygons", "RAS-7 JON-11", sql("pts grid", "select ix*4e4 x0, iy*4e4 y0 from grid where mask = 1"))
+@query("tiles_of_polygons", "RAS-7", sql("pts grid", "select ix*4e4 x0, iy*4e4 y0 from grid where mask = 1"))
 def tiles_of_polygons(spark, d):
     return tile_ops.tiles_of_coarse_mask(grid(spark, d), 4e4)
 

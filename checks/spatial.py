@@ -296,7 +296,7 @@ def z0_geoid(spark, d):
         "ix", "iy", F.col("v").alias("z0"), (F.col("thickness") * 8).alias("geoid_z"), "mask")
 
 
-@query("surface_mask_by_geoid", "JON-17 FIT-13", sql("pts grid", f"""
+@query("surface_mask_by_geoid", "JON-17", sql("pts grid", f"""
 with {Z0_GEOID} select ix, iy, case when z0 < geoid_z+300 then 0 else mask end mask from z0g"""))
 def surface_mask_by_geoid(spark, d):
     z0 = z0_geoid(spark, d).withColumn("geoid_z", F.col("geoid_z") + 300)
@@ -304,7 +304,7 @@ def surface_mask_by_geoid(spark, d):
     return masks.mask_below_geoid(z0, g, 1e4, 1e4)[0].select("ix", "iy", "mask")
 
 
-@query("change_mask_by_geoid", "JON-17 FIT-13", sql("pts dz grid", f"""
+@query("change_mask_by_geoid", "JON-17", sql("pts dz grid", f"""
 with {Z0_GEOID}, c as (select distinct ix, iy, ix*75e2 x, iy*75e2 y from dz),
 {bilinear('q', 'c', 'z0g', 'z0', '1e4').replace('v_ from', 'a_ from')},
 {bilinear('q2', 'q', 'z0g', 'geoid_z', '1e4')}

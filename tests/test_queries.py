@@ -15,11 +15,17 @@ def db(sf_dir):
 
 @pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, db, sf_dir, name):
-    state, n, _, note = compare(
-        spark, db, sf_dir, name, entry.queries()[name], entry.oracle_sql().get(name)
-    )
-    assert state in ("ok", "rows"), note
-    assert not note, note
+    # a query without rows on the smallest tables is compared on the next larger ones
+    for folder, views in ((sf_dir, db), (sf_dir.replace("0.001", "0.01"), None)):
+        state, n, _, note = compare(
+            spark, views or database(folder), folder, name, registry.QUERIES[name],
+            registry.SQL.get(name)
+        )
+        assert state in ("ok", "rows"), note
+        assert not note, note
+        if n:
+            break
+    assert n > 0, "no rows, so nothing was compared"
 
 
 def test_entry(spark):
