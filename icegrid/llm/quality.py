@@ -3,6 +3,10 @@
 Three levels: all documents, hosts, and paths of a host. Each level's mean score is the prior
 of the next, with a strength estimated from how much the means differ beyond chance, so a site
 with few documents stays near the level above it.
+
+Documents have no URL. By default the column source stands for the host and lang for the path,
+as these are the only columns that group documents: a path's posterior is then one by language
+within a source.
 """
 
 from __future__ import annotations
