@@ -288,21 +288,38 @@ def _open_blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, threshol
                  block: int) -> DataFrame:
     """Members of several components in a bucket, without its smallest, that may be similar.
 
-    A bucket is cut into blocks by hash, of about block sets and BLOCK_HASHES hashes at most;
-    each pair of blocks i, j is a group. Only those members of a group remain whose sketch
-    agrees often enough with that of another component's member.
+    A bucket's largest component and its other sets are cut into blocks by hash, of about block
+    sets and BLOCK_HASHES hashes at most; a bucket that fits is one block. Each pair of blocks
+    i, j is a group, but for two of the largest component: there is nothing to compare. So
+    its sets are copied once for each block of the others. Only those members of a group remain
+    whose sketch agrees often enough with that of another component's member.
     """
     named = attach(members.where("node <> low").select("band", "node"), roots, ["node"])
     named = named.withColumn("root", F.coalesce("root", "node"))
     rows = cut_lineage(attach(named, sets.select("node", "n"), ["node"], "inner"))
-    mixed = rows.groupBy("band").agg(
-        F.min("root").alias("x"), F.max("root").alias("y"),
-        F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_HASHES))
-        .cast("int").alias("blocks"))
-    rows = attach(rows, mixed.where("x <> y").select("band", "blocks"), ["band"], "inner")
+    parts = rows.groupBy("band", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    mixed = parts.groupBy("band").agg(
+        F.count("*").alias("roots"), F.max(F.struct("c", "s", "root")).alias("most"),
+        F.sum("c").alias("c"), F.sum("s").alias("s")).where("roots > 1")
+
+    def blocks(c: Column, s: Column) -> Column:
+        return F.greatest(F.ceil(c / block), F.ceil(s / BLOCK_HASHES)).cast("int")
+
+    rest = F.col("c") - F.col("most.c"), F.col("s") - F.col("most.s")
+    whole = blocks(F.col("c"), F.col("s")) == 1
+    mixed = mixed.select(
+        "band", F.col("most.root").alias("most"),
+        F.when(whole, 1).otherwise(blocks(*rest)).alias("few"),
+        F.when(whole, 0).otherwise(blocks(F.col("most.c"), F.col("most.s"))).alias("many"))
+    rows = attach(rows, mixed, ["band"], "inner")
     rows = attach(rows, sets.select("node", "sketch", "bands"), ["node"], "inner")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # blocks of the others come first, then those of the largest component
+    inside = (F.col("root") == F.col("most")) & (F.col("many") > 0)
+    place = F.xxhash64("node", F.lit(7))
+    rows = rows.withColumn("own", F.when(inside, F.col("few") + F.pmod(place, F.col("many")))
+                           .otherwise(F.pmod(place, F.col("few"))).cast("int"))
+    last = F.when(inside, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.select("band", F.least("own", "other").alias("i"),
                        F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sketch",
                        "bands")

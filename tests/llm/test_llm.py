@@ -122,6 +122,27 @@ def test_near_duplicates(spark, block):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_a_hot_bucket_is_copied_only_for_its_other_components(spark, monkeypatch):
+    # one band holds 300 sets of component 1 and two others; nothing is alike but set 400 and 5
+    nodes = list(range(1, 301)) + [400, 401]
+    sketch = {k: bytes(random.Random(5 if k == 400 else k).randbytes(192)) for k in nodes}
+    sets = spark.createDataFrame([(k, 50, [7, 1000 + k], bytearray(sketch[k])) for k in nodes],
+                                 "node long, n long, bands array<long>, sketch binary")
+    members = spark.createDataFrame([(7, k, 1) for k in nodes], "band long, node long, low long")
+    roots = spark.createDataFrame([(k, 1) for k in range(1, 301)], "node long, root long")
+    grouped, seen = minhash._grouped, []
+
+    def counted(rows):
+        seen.append(rows.count())
+        return grouped(rows)
+
+    monkeypatch.setattr(minhash, "_grouped", counted)
+    got = minhash._open_blocks(members, roots, sets, 0.8, 10).collect()
+    assert sorted(r.node for r in got) == [5, 400]
+    # 299 once, two in their own block and each of 30 others
+    assert seen == [299 + 2 * 31]
+
+
 def test_one_of_each_group_stays(spark):
     rows = DOCS + [(8, DOCS[0][1] + " End", "en"), (9, "nobody knows this text at all, it has no id", "en")]
     docs = documents(spark, rows)
