@@ -1,8 +1,8 @@
 """Verbatim benchmark passages in documents, by suffix arrays over the training text.
 
 Each batch of documents is a shard. Its suffix array orders the suffixes of the training words;
-the suffixes of all benchmark items are binary-searched in it, word by word, until a suffix
-has no further match. Only runs of words that occur in the benchmark are put in the array:
+the suffixes of benchmark items whose first word it has are binary-searched in it, word by
+word, until a suffix has no further match. Only runs of words that occur in the benchmark are put in the array:
 no match can hold another word, and a run shorter than every window holds none.
 """
 
@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icegrid.llm.text import alnum_words, chunks
+from icegrid.operators.skew import attach
+from icegrid.session import scratch_dir
 
 WINDOW = 10
-# Bytes of benchmark text that one pass holds in memory; a larger benchmark takes more passes.
+# Bytes of benchmark text that one pass holds in memory; a larger benchmark takes more jobs.
 BLOCK_BYTES = 1 << 24
 
 FIELDS = ("n_words long, n_hit long, items array<string>, "
@@ -76,11 +78,14 @@ def suffix_array(words: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarra
 
 def search(words: np.ndarray, order: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
     """For each item suffix, the range of the array whose suffixes begin with its window."""
-    low = np.zeros(len(items.start), np.int64)
-    high = np.full(len(items.start), len(order), np.int64)
+    low, high = np.zeros((2, len(items.start)), np.int64)
+    seen = np.zeros(len(items.vocabulary) + 1, bool)
+    seen[words] = True
+    live = np.flatnonzero(seen[items.flat[items.start]])
+    high[live] = len(order)
     padded = np.concatenate([words, [0]])
     for depth in range(int(items.need.max(initial=0))):
-        live = np.flatnonzero((high > low) & (items.need > depth))
+        live = live[(high[live] > low[live]) & (items.need[live] > depth)]
         if not len(live):
             break
         wanted = items.flat[items.start[live] + depth]
@@ -182,6 +187,16 @@ def scan(texts: list[str | None], items: Items) -> pd.DataFrame:
     return out
 
 
+def _union(spans) -> list[dict]:
+    merged: list[dict] = []
+    for start, end in sorted(spans):
+        if merged and start <= merged[-1]["end"]:
+            merged[-1]["end"] = max(merged[-1]["end"], int(end))
+        else:
+            merged.append({"start": int(start), "end": int(end)})
+    return merged
+
+
 def _merge(blocks: list[pd.DataFrame]) -> pd.DataFrame:
     """Results of several blocks of the benchmark for the same texts."""
     out = blocks[0].copy()
@@ -189,12 +204,7 @@ def _merge(blocks: list[pd.DataFrame]) -> pd.DataFrame:
     for parts in zip(*(b.itertuples(index=False) for b in blocks), strict=True):
         items.append(sorted({x for p in parts for x in p.items}))
         longest.append(max(p.longest for p in parts))
-        merged: list[dict] = []
-        for s in sorted(((s["start"], s["end"]) for p in parts for s in p.spans)):
-            if merged and s[0] <= merged[-1]["end"]:
-                merged[-1]["end"] = max(merged[-1]["end"], s[1])
-            else:
-                merged.append({"start": s[0], "end": s[1]})
+        merged = _union((s["start"], s["end"]) for p in parts for s in p.spans)
         spans.append(merged)
         hits.append(sum(s["end"] - s["start"] for s in merged))
     out["items"], out["spans"], out["n_hit"], out["longest"] = items, spans, hits, longest
@@ -202,15 +212,27 @@ def _merge(blocks: list[pd.DataFrame]) -> pd.DataFrame:
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):
-    """The items in lists of about block_bytes of text at most, one list at a time."""
+    """(number of blocks, the items of each in turn): lists of about block_bytes of text.
+
+    Several blocks are first written to the shared folder, cut by a hash of the item.
+    """
+    spark = benchmark.sparkSession
     rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("name"),
                             F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     n = -(-int(total) // block_bytes) or 1
-    part = F.pmod(F.xxhash64("name", "text"), F.lit(n))
-    for k in range(n):
-        chosen = rows if n == 1 else rows.where(part == k)
-        yield [(r["name"], r["text"]) for r in chosen.collect()]
+    if n > 1:
+        folder = scratch_dir(spark, "benchmark")
+        part = F.pmod(F.xxhash64("name", "text"), F.lit(n)).cast("int")
+        rows.withColumn("part", part).write.partitionBy("part").parquet(folder)
+        rows = spark.read.schema("name string, text string, part int").parquet(folder)
+
+    def read():
+        for k in range(n):
+            chosen = rows if n == 1 else rows.where(F.col("part") == k)
+            yield [(r["name"], r["text"]) for r in chosen.select("name", "text").collect()]
+
+    return n, read()
 
 
 def leaks(text: Column, benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id",
@@ -221,12 +243,12 @@ def leaks(text: Column, benchmark: DataFrame, window: int = WINDOW, id_col: str
     without words has none. items are the ids, as sorted strings, of the items with a window in
     the text; longest is the longest verbatim match; spans are the word ranges hit. A null or
     wordless text is hit by nothing. A null item id counts as the empty string, repeated ids
-    once. The benchmark is held by each task in blocks of bounded size; each block is one pass
-    over the documents, without a shuffle. Runs small jobs on the benchmark.
+    once. A column is made by one job, so each task holds the whole benchmark, in blocks; use
+    find_leaks for one of more than a block. Runs small jobs on the benchmark.
     """
     spark = benchmark.sparkSession
     columns = []
-    for rows in _blocks(benchmark, id_col, text_col, block_bytes):
+    for rows in _blocks(benchmark, id_col, text_col, block_bytes)[1]:
         shared = spark.sparkContext.broadcast(rows)
         columns.append(_scanner(shared, window)(text))
     if len(columns) == 1:
@@ -251,6 +273,71 @@ def _scanner(shared, window: int):
     return run.asNondeterministic()
 
 
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+               text_col: str = "text", id_col: str = "item_id", item_text_col: str = "text",
+               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """row (struct of the columns of docs) and leak (see leaks) of each row of docs.
+
+    The driver and each task hold one block of the benchmark. If there are several, each is a
+    job over the documents that writes its hits; its block is released before the next is read.
+    Hits are merged by a digest of the text, and joined to the rows. Runs jobs.
+    """
+    spark = docs.sparkSession
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
+    n, blocks = _blocks(benchmark, id_col, item_text_col, block_bytes)
+    if n == 1:
+        shared = spark.sparkContext.broadcast(next(blocks))
+        return rows.select("row", _scanner(shared, window)(F.col("text")).alias("leak"))
+    folder = scratch_dir(spark, "leaks")
+    rows = rows.withColumn("key", F.sha2("text", 256))
+    for k, items in enumerate(blocks):
+        shared = spark.sparkContext.broadcast(items)
+        leak = _scanner(shared, window)(F.col("text")).alias("leak")
+        found = rows.where("text is not null").select("key", leak).where("leak.n_hit > 0")
+        found = found.select("key", F.lit(k).alias("block"), "leak.items", "leak.longest",
+                             "leak.spans")
+        found.write.mode("append").parquet(folder)
+        shared.destroy()
+    hits = spark.read.schema("key string, block int, items array<string>, longest long, "
+                             "spans array<struct<start:long,end:long>>").parquet(folder)
+    # copies of a text have the same hits
+    hits = hits.groupBy("key", "block").agg(*[F.first(c).alias(c)
+                                              for c in ("items", "longest", "spans")])
+    hits = hits.groupBy("key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.max("longest").alias("longest"), F.flatten(F.collect_list("spans")).alias("spans"))
+    hits = hits.withColumn("spans", _joined(F.col("spans.start"), F.col("spans.end")))
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    hits = hits.withColumn("n_hit", length)
+    out = attach(rows.select("row", "key", _word_count(F.col("text")).alias("n_words")), hits,
+                 ["key"])
+    empty = {"n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"),
+             "longest": F.lit(0).cast("long"),
+             "spans": F.array().cast("array<struct<start:long,end:long>>")}
+    return out.select("row", F.struct("n_words", *[F.coalesce(c, v).alias(c)
+                                                   for c, v in empty.items()]).alias("leak"))
+
+
+def _word_count(text: Column) -> Column:
+    @F.pandas_udf("long")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in texts:
+            yield pd.Series([len(alnum_words(t)) for t in series], dtype="int64")
+
+    return run.asNondeterministic()(text)
+
+
+def _joined(starts: Column, ends: Column) -> Column:
+    """Spans in order, those that overlap or touch as one."""
+
+    @F.pandas_udf("array<struct<start:long,end:long>>")
+    def run(starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([_union(zip(*x)) for x in zip(starts, ends, strict=True)], dtype=object)
+
+    return run.asNondeterministic()(starts, ends)
+
+
 def items_digest(items: Column) -> Column:
     return F.sha2(F.array_join(items, ","), 256)
 
@@ -262,7 +349,5 @@ def digest_of(names: list[str]) -> str:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   text_col: str = "text", **kw) -> DataFrame:
     """docs without the rows that hold a window of the benchmark; all columns as they are."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.select(row.alias("row"),
-                         leaks(F.col(f"`{text_col}`"), benchmark, window, **kw).alias("leak"))
+    marked = find_leaks(docs, benchmark, window, text_col, **kw)
     return marked.where("leak.n_hit = 0").select("row.*")

@@ -52,9 +52,9 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    leak = decontaminate.leaks(F.col("text"), table(spark, sf_dir, "benchmark"))
-    found = docs.select("doc_id", leak.alias("l"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = found.select("row.doc_id", F.col("leak").alias("l"))
     return found.select(
         "doc_id", "l.n_words", "l.n_hit", F.size("l.items").cast("long").alias("n_items"),
         decontaminate.items_digest(F.col("l.items")).alias("items_sha256"),

@@ -288,6 +288,31 @@ def test_leaks(spark, block_bytes):
     assert {r.n_hit for r in none.collect()} == {0}
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(k, " ".join(rng.choice("abc") for _ in range(rng.choice([3, 14])))) for k in range(9)]
+    texts = [None, "", "?!"] + 2 * [" ".join([rng.choice("abx") for _ in range(9)] + [t, "z"]) for _, t in items]
+    df = spark.createDataFrame([(t, k % 5) for k, t in enumerate(texts)], "text string, doc_id int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    scanner, held, most = decontaminate._scanner, [], []
+
+    def watched(shared, window):
+        held.append(shared)
+        most.append(sum(b._jbroadcast.isValid() for b in held))
+        return scanner(shared, window)
+
+    monkeypatch.setattr(decontaminate, "_scanner", watched)
+    clean = decontaminate.decontaminate(df, bench, block_bytes=60)
+    assert sorted(map(str, clean.collect())) == sorted(
+        str(r) for r in df.collect() if brute_leaks(r.text, items)[1] == 0)
+    assert len(held) > 2 and max(most) == 1
+    got = [(r.row.text, r.leak) for r in decontaminate.find_leaks(df, bench, block_bytes=60).collect()]
+    assert sorted(map(str, texts)) == sorted(str(t) for t, _ in got)
+    for t, x in got:
+        assert (x.n_words, x.n_hit, x["items"]) == brute_leaks(t, items)
+        assert sum(s.end - s.start for s in x.spans) == x.n_hit and (x.longest > 0) == (x.n_hit > 0)
+
+
 def test_suffix_array_orders_suffixes():
     words = np.random.default_rng(0).integers(1, 4, 200)
     got = decontaminate.suffix_array(words, np.arange(200), 200)
