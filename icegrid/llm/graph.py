@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -14,6 +15,8 @@ from icegrid.session import cut_lineage
 
 # Links that one task contracts, about. With fewer in all, one task sees the whole graph.
 TASK_LINKS = 500_000
+# Links that a task gathers at least before it contracts them.
+GATHER = 1 << 16
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -35,28 +38,37 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The links of one partition as a link from each node to its smallest."""
     u = v = np.zeros(0, np.int64)
-    for batch in batches:
-        nodes, root = forest(np.concatenate([u, batch["u"].to_numpy(np.int64)]),
-                             np.concatenate([v, batch["v"].to_numpy(np.int64)]))
+    rest: list[pd.DataFrame] = []
+    held = 0
+    # as many links as are known already are gathered, so all sorts together are n log n
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            rest.append(batch)
+            held += len(batch)
+            if held < max(GATHER, len(u)):
+                continue
+        nodes, root = forest(np.concatenate([u, *(b["u"].to_numpy(np.int64) for b in rest)]),
+                             np.concatenate([v, *(b["v"].to_numpy(np.int64) for b in rest)]))
         u, v = nodes[nodes != root], root[nodes != root]
+        rest, held = [], 0
     yield pd.DataFrame({"u": u, "v": v})
 
 
 def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """node and root (the smallest node reachable) of every node with a link; links are u, v.
 
-    Tasks of about task_links links first shrink theirs to stars. If there are several tasks,
-    large and small stars alternate then: each round points the larger neighbours of a node,
-    then the node and its smaller ones, at the smallest neighbour, until nothing moves; rounds
-    grow with the logarithm of the number of nodes. Minima combine before the shuffle, and a
-    hub's links are joined so that Spark can split them. Each round is checkpointed; nothing but
-    a count and a digest reaches the driver. Runs jobs.
+    Tasks of about task_links links, dealt by both ends so that a hub's are spread, first shrink
+    theirs to stars. If there are several tasks, large and small stars alternate then: each round
+    points the larger neighbours of a node, then the node and its smaller ones, at the smallest
+    neighbour, until nothing moves; rounds grow with the logarithm of the number of nodes.
+    Minima combine before the shuffle, and a hub's links are joined so that Spark can split them.
+    Each round is checkpointed; nothing but a count and a digest reaches the driver. Runs jobs.
     """
     links = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links = links.where("u <> v").distinct()
     tasks = -(-links.count() // task_links)
     if tasks > 1:
-        links = links.repartition(tasks, "v")
+        links = links.repartition(tasks, "u", "v")
     else:
         links = links.repartition(1)
     links = cut_lineage(links.mapInPandas(_contract, "u long, v long"))

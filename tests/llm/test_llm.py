@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,6 +174,32 @@ def test_components(spark, task_links):
     assert graph.components(df.limit(0), task_links).count() == 0
 
 
+def test_links_of_a_hub_are_spread(spark, monkeypatch):
+    links = spark.range(1, 4001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    cut, first = graph.cut_lineage, []
+
+    def watched(df):
+        df = cut(df)
+        if not first:
+            first.extend(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+        return df
+
+    monkeypatch.setattr(graph, "cut_lineage", watched)
+    got = graph.components(links, 1000).collect()
+    assert len(got) == 4001 and {r.root for r in got} == {0}
+    assert sum(first) == 4000 and max(first) < 2000
+
+
+def test_contraction_is_not_quadratic(monkeypatch):
+    batches = [pd.DataFrame({"u": np.arange(k, k + 1000) + 1, "v": 0}) for k in range(0, 300_000, 1000)]
+    forest, seen = graph.forest, []
+    monkeypatch.setattr(graph, "forest", lambda u, v: (seen.append(len(u)), forest(u, v))[1])
+    out = pd.concat(graph._contract(iter(batches)))
+    assert sorted(out["u"]) == list(range(1, 300_001)) and set(out["v"]) == {0}
+    assert sum(seen) < 4 * 300_000
+    assert not len(pd.concat(graph._contract(iter([]))))
+
+
 def test_sieve_lets_all_keys_pass(spark):
     df = spark.range(20_000).withColumn("k", F.xxhash64("id"))
     keys = df.where("id < 50")
