@@ -1,4 +1,4 @@
-"""The queries op1 to op10 on the given tables, and SQL where it can express them."""
+"""The queries op1 to op13 on the given tables, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from icegrid.llm import (
     decontaminate,
     embedding_dedup,
     language,
+    lexical,
     license_scan,
     minhash,
     pii,
@@ -105,10 +106,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_license_scan, op2_quality, op3_embedding_dedup, op4_minhash_dedup,
-              op5_decontamination, op6_sharding, op7_pii, op8_language, op9_url_filter, op10_bpe)
+              op5_decontamination, op6_sharding, op7_pii, op8_language, op9_url_filter, op10_bpe,
+              op13_lexical_search)
 }
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -194,4 +200,27 @@ with r as (
     from c left join listed l on l.canonical = c.canonical)
 select page_id, host, path, rule, canonical, listed, case when rule in ('org/', 'com/fr/') then 'allow'
   when rule is not null or listed then 'block' else 'allow' end verdict from v""",
+    "op13_lexical_search": rf"""
+with d as (
+  select doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w
+  from documents),
+  i as (
+  select distinct item_id, regexp_extract_all({_LOWER.format("text")},
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w from benchmark),
+  c as (select count(*) n_docs, cast(sum(len(w)) as bigint) n_terms from d where len(w) > 0),
+  q as (select item_id, g, count(*) c from (select item_id, unnest(w) g from i) group by item_id, g),
+  t as (
+  select doc_id, n, g, count(*) tf from (select doc_id, len(w) n, unnest(w) g from d)
+  where g in (select g from q) group by doc_id, n, g),
+  wt as (
+  select g, cast(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) as bigint) wt
+  from t, c group by g),
+  s as (
+  select item_id, doc_id, cast(sum(q.c * wt * ((1000000000 * tf)
+    // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_terms))))) as bigint) score
+  from q join t on t.g = q.g join wt on wt.g = q.g, c group by item_id, doc_id),
+  r as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) k
+  from s where score > 0)
+select item_id, cast(k as integer) as rank, doc_id, score from r where k <= 10""",
 }
