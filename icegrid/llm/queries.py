@@ -12,6 +12,7 @@ from icegrid.llm import (
     bpe,
     decontaminate,
     embedding_dedup,
+    hard_negatives,
     language,
     lexical,
     license_scan,
@@ -106,6 +107,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
@@ -114,7 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_license_scan, op2_quality, op3_embedding_dedup, op4_minhash_dedup,
               op5_decontamination, op6_sharding, op7_pii, op8_language, op9_url_filter, op10_bpe,
-              op13_lexical_search)
+              op12_hard_negatives, op13_lexical_search)
 }
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -200,6 +207,21 @@ with r as (
     from c left join listed l on l.canonical = c.canonical)
 select page_id, host, path, rule, canonical, listed, case when rule in ('org/', 'com/fr/') then 'allow'
   when rule is not null or listed then 'block' else 'allow' end verdict from v""",
+    "op12_hard_negatives": """
+with v as (
+  select distinct vec_id id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) e from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+  s as (
+  select a.id a, b.id b, a.label = b.label same, cast(list_inner_product(a.e, b.e) as bigint) s
+  from v a join v b on a.id % 100 = 0 and a.id <> b.id and len(a.e) = len(b.e)),
+  p as (select a, b, s, row_number() over (partition by a order by s desc, b) k from s where same),
+  n as (
+  select p.a, p.b, p.s ps, s.b neg, s.s ns, row_number() over (partition by p.a, p.b order by s.s desc, s.b) k
+  from p join s on s.a = p.a where p.k <= 5 and not s.same and 80 * p.s <= 100 * s.s and 100 * s.s <= 100 * p.s)
+select a anchor_id, b positive_id, cast(k as integer) as rank, neg negative_id, ps positive_score,
+  ns negative_score from n where k <= 5""",
     "op13_lexical_search": rf"""
 with d as (
   select doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w
