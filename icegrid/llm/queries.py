@@ -20,6 +20,7 @@ from icegrid.llm import (
     pii,
     quality,
     sharding,
+    toxicity,
     urls,
 )
 from icegrid.llm.text import tune_texts
@@ -107,6 +108,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    held = language.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels.where(~held))
+    found = docs.select("doc_id", held.alias("held_out"),
+                        toxicity.score(F.col("text"), model, spark).alias("t"))
+    return found.select("doc_id", "held_out", "t.score",
+                        (F.col("t.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                        F.size("t.spans").cast("long").alias("n_sentences"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -121,7 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_license_scan, op2_quality, op3_embedding_dedup, op4_minhash_dedup,
               op5_decontamination, op6_sharding, op7_pii, op8_language, op9_url_filter, op10_bpe,
-              op12_hard_negatives, op13_lexical_search)
+              op11_toxicity, op12_hard_negatives, op13_lexical_search)
 }
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
