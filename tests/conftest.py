@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+import icegrid  # noqa: E402, F401  before numpy: one BLAS thread
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
