@@ -18,13 +18,15 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from icegrid.llm.text import chunks
+from icegrid.llm.text import chunks, release
 
 # Pieces up to this many bytes merge in lockstep, at most LOCKSTEP tree nodes at once.
 SHORT = 64
 LOCKSTEP = 1 << 18
-# Units of text whose ids each task remembers; twice as many at most.
-REMEMBERED = 100_000
+# Bytes of units of text with their ids that each task remembers, about; three times at most.
+REMEMBERED_BYTES = 8 << 20
+# What a remembered entry takes besides its characters and ids, about.
+_ENTRY = 220
 _NONE = 1 << 30
 _WIDTH = [1 << max(1, (n - 1).bit_length()) for n in range(SHORT + 1)]
 
@@ -39,34 +41,62 @@ def read_ranks(path: str) -> tuple[bytes, ...]:
     return tuple(tokens)
 
 
+@lru_cache(maxsize=4)
+def merges_of(tokens: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of token ids that merge, as sorted left * number of tokens + right, and their ranks."""
+    ranks = {t: r for r, t in enumerate(tokens) if t}
+    width = len(tokens)
+    keys, values = [], []
+    # a token of one byte never results from a merge
+    for token, rank in ranks.items():
+        for k in range(1, len(token)):
+            left, right = ranks.get(token[:k]), ranks.get(token[k:])
+            if left is not None and right is not None:
+                keys.append(left * width + right)
+                values.append(rank)
+    order = np.argsort(keys)
+    return (np.append(np.array(keys, np.int64)[order], 1 << 62),
+            np.append(np.array(values, np.int32)[order], np.int32(-1)))
+
+
+class Remembered(dict):
+    """Texts and their ids, with a count of about how many bytes they take."""
+
+    size = 0
+
+    def learn(self, names: list[str], values: list[bytes]) -> None:
+        self.update(zip(names, values, strict=True))
+        self.size += sum(map(len, names)) + sum(map(len, values)) + _ENTRY * len(names)
+
+
 class Bpe:
-    def __init__(self, tokens: tuple[bytes, ...], pattern: str):
-        self.tokens = tokens
+    """Encoder of one vocabulary. Arrays of pairs are shared, no table of Python objects is built
+    but the ranks."""
+
+    def __init__(self, tokens: tuple[bytes, ...], pattern: str,
+                 merges: tuple[np.ndarray, np.ndarray] | None = None):
         self.pattern = regex.compile(pattern)
         self.ranks = {t: r for r, t in enumerate(tokens) if t}
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.single < 0).any():
             raise ValueError("every byte needs a token")
-        # a token of one byte never results from a merge
-        merged = [(a, b, r) for t, r in self.ranks.items() for k in range(1, len(t))
-                  if (a := self.ranks.get(t[:k])) is not None
-                  and (b := self.ranks.get(t[k:])) is not None]
         self.width = len(tokens)
-        table = np.array(merged, np.int64).reshape(-1, 3)
-        keys = table[:, 0] * self.width + table[:, 1]
-        order = np.argsort(keys)
-        self.keys = np.append(keys[order], 1 << 62)
-        self.values = np.append(table[order, 2], -1)
-        self.pair = {(a, b): r for a, b, r in merged}
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.keys, self.values = merges or merges_of(tokens)
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
+        self.forget()
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.width + right
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.values[at], -1)
 
+    def _one(self, left: int, right: int) -> int:
+        key = left * self.width + right
+        at = self.keys.searchsorted(key)
+        return int(self.values[at]) if self.keys[at] == key else -1
+
     def merge_many(self, pieces: list[bytes], width: int) -> list[bytes]:
         """Ids of pieces of 2 to width bytes; width is a power of two up to SHORT.
 
@@ -135,11 +165,10 @@ class Bpe:
         width = 1 << max(1, (n - 1).bit_length())
         none = 1 << 62
         ids: list[int] = self.single[np.frombuffer(piece, np.uint8)].tolist()
-        pair = self.pair
         tree = [none] * (2 * width)
-        for k in range(n - 1):
-            r = pair.get((ids[k], ids[k + 1]))
-            if r is not None:
+        start = np.array(ids, np.int64)
+        for k, r in enumerate(self._rank(start[:-1], start[1:]).tolist()):
+            if r >= 0:
                 tree[width + k] = r * width + k
         for node in range(width - 1, 0, -1):
             tree[node] = min(tree[2 * node], tree[2 * node + 1])
@@ -166,15 +195,15 @@ class Bpe:
             live[second] = 0
             after[at] = third
             put(second, none)
-            r = None
+            r = -1
             if third < n:
                 before[third] = at
-                r = pair.get((ids[at], ids[third]))
-            put(at, none if r is None else r * width + at)
+                r = self._one(ids[at], ids[third])
+            put(at, none if r < 0 else r * width + at)
             first = before[at]
             if first >= 0:
-                r = pair.get((ids[first], ids[at]))
-                put(first, none if r is None else r * width + first)
+                r = self._one(ids[first], ids[at])
+                put(first, none if r < 0 else r * width + first)
         return np.array([i for i, on in zip(ids, live, strict=True) if on], "<i4")
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
@@ -203,12 +232,12 @@ class Bpe:
         They are split together, as a text of them would be. Units that end in a blank, where a
         piece may continue, and empty ones are returned instead.
         """
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+        if self.new.size > REMEMBERED_BYTES:
+            self.old, self.new = self.new, Remembered()
         units = units.difference(self.new)
-        again = units.intersection(self.old)
-        self.new.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        units -= again
+        again = list(units.intersection(self.old))
+        self.new.learn(again, list(map(self.old.__getitem__, again)))
+        units.difference_update(again)
         odd = {u for u in units if not u or u[-1].isspace()}
         missing = list(units - odd) if odd else list(units)
         if missing:
@@ -219,18 +248,18 @@ class Bpe:
             cuts = (np.searchsorted(ends, stops) + 1).tolist()
             values = [ids[a] if b - a == 1 else b"".join(ids[a:b])
                       for a, b in zip([0, *cuts], cuts, strict=False)]
-            self.new.update(zip(missing, values, strict=True))
+            self.new.learn(missing, values)
         return odd
 
     def forget(self) -> None:
         """Give back what is remembered, so that idle workers are small."""
-        self.new, self.old, self.pieces = {}, {}, {}
+        self.new, self.old, self.pieces = Remembered(), Remembered(), Remembered()
 
     def pieces_of(self, parts: list[str]) -> list[bytes]:
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
+        if self.pieces.size > REMEMBERED_BYTES:
+            self.pieces = Remembered()
         unknown = list(set(parts).difference(self.pieces))
-        self.pieces.update(zip(unknown, self.encode_pieces(unknown), strict=True))
+        self.pieces.learn(unknown, self.encode_pieces(unknown))
         return list(map(self.pieces.__getitem__, parts))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -258,9 +287,38 @@ class Bpe:
         return out
 
 
-@lru_cache(maxsize=1)
-def _shared(tokens: tuple[bytes, ...], pattern: str) -> Bpe:
-    return Bpe(tokens, pattern)
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids; one that is no token raises."""
+        if not len(ids):
+            return b""
+        if ids.min() < 0:
+            raise IndexError("an id below 0")
+        size = self.sizes[ids]
+        ends = np.cumsum(size)
+        return self.blob[np.repeat(self.starts[ids] - ends + size, size)
+                         + np.arange(ends[-1])].tobytes()
+
+
+_workers: dict[tuple, Bpe] = {}
+
+
+def _worker(shared, pattern: str) -> Bpe:
+    """The one encoder of a worker process, whatever number of tasks it runs."""
+    key = (shared.value[0], pattern)
+    if key not in _workers:
+        _workers.clear()
+        _workers[key] = Bpe(shared.value[0], pattern, shared.value[1:])
+    return _workers[key]
+
+
+def _share(tokens: tuple[bytes, ...], spark):
+    return spark.sparkContext.broadcast((tokens, *merges_of(tokens)))
+
+
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    stops = np.cumsum([0, *map(len, found)])
+    flat = np.concatenate(found) if found else np.zeros(0, "<i4")
+    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(flat, pa.int32()))
 
 
 def encode(text: Column, tokens: tuple[bytes, ...], pattern: str, spark) -> Column:
@@ -268,24 +326,35 @@ def encode(text: Column, tokens: tuple[bytes, ...], pattern: str, spark) -> Colu
 
     A match that is a token is its id; else its bytes are merged pair by pair, least rank
     first, leftmost among equals. Null and empty texts have no ids. The tokens (read_ranks)
-    are sent to the tasks, so their file need not be on every machine. Each task remembers a
-    bounded number of units.
+    and the arrays of their pairs are sent to the tasks, so their file need not be on every
+    machine. Each task remembers units of bounded bytes and forgets them at its end.
     """
-    shared = spark.sparkContext.broadcast(tokens)
+    shared = _share(tokens, spark)
 
     @F.arrow_udf("array<int>")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = _shared(shared.value, pattern)
+        bpe = _worker(shared, pattern)
         for batch in texts:
-            sizes, values = [0], []
-            for part in chunks(batch.to_pylist()):
-                for ids in bpe.encode(part):
-                    sizes.append(len(ids))
-                    values.append(ids)
-            flat = np.concatenate(values) if values else np.zeros(0, "<i4")
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()),
-                                           pa.array(flat, pa.int32()))
+            yield _lists([ids for part in chunks(batch.to_pylist()) for ids in bpe.encode(part)])
         bpe.forget()
+        release()
+
+    return run.asNondeterministic()(text)
+
+
+def encode_and_back(text: Column, tokens: tuple[bytes, ...], pattern: str, spark) -> Column:
+    """Struct of ids (see encode) and back, the bytes that decoding these ids gives; in one pass."""
+    shared = _share(tokens, spark)
+
+    @F.arrow_udf("ids array<int>, back binary")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = _worker(shared, pattern)
+        for batch in texts:
+            found = [ids for part in chunks(batch.to_pylist()) for ids in bpe.encode(part)]
+            back = pa.array([bpe.decode(ids) for ids in found], pa.binary())
+            yield pa.StructArray.from_arrays([_lists(found), back], ["ids", "back"])
+        bpe.forget()
+        release()
 
     return run.asNondeterministic()(text)
 
@@ -295,25 +364,14 @@ def decode(ids: Column, tokens: tuple[bytes, ...], spark) -> Column:
 
     An id that is no token fails the query.
     """
-    shared = spark.sparkContext.broadcast(tokens)
+    shared = _share(tokens, spark)
 
     @F.arrow_udf("binary")
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        sizes = np.fromiter(map(len, shared.value), np.int64, len(shared.value))
-        starts = np.cumsum(sizes) - sizes
-        blob = np.frombuffer(b"".join(shared.value), np.uint8)
+        bpe = _worker(shared, "")
         for batch in arrays:
-            yield pa.array([_bytes(x.values, blob, starts, sizes) for x in batch], pa.binary())
+            yield pa.array([b"" if x.values is None else bpe.decode(x.values.to_numpy())
+                            for x in batch], pa.binary())
+        release()
 
     return run.asNondeterministic()(ids)
-
-
-def _bytes(ids: pa.Array | None, blob: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bytes:
-    if ids is None or not len(ids):
-        return b""
-    ids = ids.to_numpy()
-    if ids.min() < 0:
-        raise IndexError("an id below 0")
-    size = sizes[ids]
-    ends = np.cumsum(size)
-    return blob[np.repeat(starts[ids] - ends + size, size) + np.arange(ends[-1])].tobytes()

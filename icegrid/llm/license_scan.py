@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from icegrid.llm.text import alnum_words
+from icegrid.llm.text import alnum_words, release
 
 # The base phrases and their labels.
 BASE = {
@@ -62,10 +62,15 @@ def postfix(expression: str) -> list[str]:
     out: list[str] = []
     stack: list[str] = []
     want_name = True
+    last = ""
     for token in _TOKEN.findall(expression):
-        word = token.lower()
+        before, last = last, token.lower()
+        word = last
         if want_name:
             if word == "(":
+                # with binds a name to a name
+                if before == "with":
+                    break
                 stack.append(word)
                 continue
             if word in _BINDING or word == ")":
@@ -78,15 +83,19 @@ def postfix(expression: str) -> list[str]:
             while stack[-1] != "(":
                 out.append(stack.pop())
             stack.pop()
-        elif word in _BINDING:
+        elif word in _BINDING and not (word == "with" and before == ")"):
             while stack and stack[-1] != "(" and _BINDING[stack[-1]] >= _BINDING[word]:
                 out.append(stack.pop())
             stack.append(word)
             want_name = True
         else:
             break
-    if want_name and stack and stack[-1] in _BINDING:
-        stack.pop()
+    if want_name:
+        # cut off: the last operator has no right side, whatever brackets follow it
+        while stack and stack[-1] == "(":
+            stack.pop()
+        if stack:
+            stack.pop()
     out += [t for t in reversed(stack) if t != "("]
     return out
 
@@ -134,9 +143,13 @@ class Scanner:
         base, first, last = 0, None, None
         base_labels, labels, values, expressions = set(), set(), [], []
         tagged = False
+        seen = at = 0
         for end, (phrase, label) in self.words.iter(line):
             if phrase in BASE:
-                at = line.count(" ", 0, end - len(phrase) - 1)
+                # blanks are counted on from the last place, as notices may be many
+                start = end - len(phrase) - 1
+                at += line.count(" ", seen, start) - line.count(" ", start, seen)
+                seen = start
                 base += 1
                 first = at if first is None else min(first, at)
                 last = at if last is None else max(last, at)
@@ -182,5 +195,6 @@ def scan_licenses(text: Column) -> Column:
             for c in ("n_words", "n_base", "first_word", "last_word"):
                 out[c] = out[c].astype("Int64")
             yield out
+        release()
 
     return run.asNondeterministic()(text)

@@ -27,8 +27,10 @@ from icegrid.llm.text import tune_texts
 
 SHARDS = 40
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-# Hosts whose pages make the list of op9.
-LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills|free-bets)\."
+# The list of op9: pages of these host families, and link farms, whose html has more than LINKS
+# links for each paragraph.
+LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills|free-bets|casino-win|ads-track|adult-x)\."
+LINKS = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,17 +92,19 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(urls.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
-    return urls.judge(pages, listed)
+    pages = table(spark, sf_dir, "pages")
+    links, paragraphs = (F.size(F.split("html", mark)) - 1 for mark in ("<a ", "<p>"))
+    farm = F.coalesce(links > LINKS * paragraphs, F.lit(False))
+    bad_host = urls.host_of(F.col("url")).rlike(LISTED_HOSTS)
+    return urls.judge(pages.select("page_id", "url"), pages.where(bad_host | farm).select("url"))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tokens = bpe.read_ranks(VOCABULARY)
-    rows = docs.select("doc_id", bpe.encode(F.col("text"), tokens, public_tokenizers.PATTERN,
-                                            spark).alias("ids"))
-    rows = rows.select("doc_id", "ids", bpe.decode(F.col("ids"), tokens, spark).alias("decoded"))
+    both = bpe.encode_and_back(F.col("text"), tokens, public_tokenizers.PATTERN, spark)
+    rows = docs.select("doc_id", both.alias("b"))
+    rows = rows.select("doc_id", "b.ids", F.col("b.back").alias("decoded"))
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return rows.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -210,7 +214,10 @@ with r as (
       regexp_replace(regexp_replace(host, '^(?:www|m)\.', ''), ':(?:80|443)$', '')
       || regexp_replace(regexp_replace(path, '(?:/index)?\.html?$', ''), '/+$', '')
       || case when query <> '' then '?' || query else '' end end canonical from q),
-  listed as (select distinct canonical from c where regexp_matches(host, '{LISTED_HOSTS}')),
+  farms as (select page_id from pages
+    where len(string_split(html, '<a ')) - 1 > {LINKS} * (len(string_split(html, '<p>')) - 1)),
+  listed as (select distinct canonical from c where canonical is not null
+    and (regexp_matches(host, '{LISTED_HOSTS}') or page_id in (select page_id from farms))),
   v as (select c.*, l.canonical is not null listed,
     case when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
       when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import SparkSession
 
@@ -50,6 +53,15 @@ def chunks(texts: Iterable[str | None], limit: int = CHUNK_CHARS) -> Iterator[li
         yield part
 
 
+def release() -> None:
+    """Give back what a finished task no longer needs, as workers stay alive beside each other."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a number of entries."""
 

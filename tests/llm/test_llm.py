@@ -277,6 +277,9 @@ def test_license_expressions():
     assert value("MIT and GPL-2.0")[0] == 0.4 and value("MIT or GPL-2.0")[0] == 1.0
     assert value("GPL-2.0 with Classpath-exception-2.0") == (0.7, ["gpl-2.0"])
     assert value("(MIT or GPL-3.0) and (Zlib") == (1.0, ["mit", "gpl-3.0", "zlib"])
+    assert value("MIT AND (") == value("(MIT and ((") == value("MIT with (A or B)") == (1.0, ["mit"])
+    assert value("MIT or (GPL-2.0 and") == (1.0, ["mit", "gpl-2.0"])
+    assert value("(MIT or GPL-2.0) with X")[1] == ["mit", "gpl-2.0"]
     assert value("") is None and value("and") is None and value(")") is None
 
 
@@ -406,10 +409,25 @@ def test_personal_data(spark, sf_dir):
         want = brute_pii(r.text)
         assert r.base == ",".join(want)
         assert set(want) <= set(r.all.split(",")) | {""}
+    # forms that no base pattern takes are like those it takes
+    other = ["my card 378282246310005 here", "write jane (at) mail.example (dot) org"]
+    for t, kind in zip(other, ("card", "email"), strict=True):
+        one = spark.createDataFrame([(t,)], "text string").select(pii.find_spans(F.col("text"), model).alias("f"))
+        found = one.select(pii.spans_text(F.col("f"), "all")).first()[0]
+        assert not brute_pii(t) and found.startswith(kind), (t, found)
     empty = pii.fit(corpus.limit(0))
     assert not empty.least and not empty.trees
 
 
+def test_phones_without_a_plus_are_like_those_with(spark):
+    texts = [f"call +1 (555) {100 + k}-{4000 + k} or {k}" for k in range(200)]
+    texts += [f"part 12-{k}-{3000 + k} of list {k}" for k in range(100, 300)]
+    model = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    df = spark.createDataFrame([("ring (555) 123-4567 now",), ("part 12-150-3050",)], "text string")
+    found = df.select(pii.spans_text(pii.find_spans(F.col("text"), model), "all").alias("f")).collect()
+    assert [r.f for r in found] == ["phone:5:19", ""]
+
+
 def test_redaction(spark):
     docs = documents(spark).withColumn("n_chars", F.length("text").cast("long"))
     got = pii.redact_documents(docs, pii.Trees([], 0.0, {}))
@@ -430,6 +448,75 @@ def test_trees_learn_a_rule():
     assert score[right > 0].min() > 1 > -1 > score[right == 0].max()
 
 
+def brute_language(rows):
+    """predict(text) -> language, score, share known, of a model of all rows (text, lang)."""
+    counts = [defaultdict(lambda: defaultdict(int)) for _ in range(language.ORDER + 1)]
+    sums = defaultdict(int)
+    for t, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", t.lower()) if any(c.isalpha() for c in t) else []:
+            for n in range(language.ORDER + 1):
+                padded = f" {w} " if n > 1 else w
+                for g in [w] if not n else [padded[k:k + n] for k in range(max(1, len(padded) - n + 1))]:
+                    counts[n][g][lang] += 1
+                    sums[n, lang] += 1
+    counts[0] = {w: c for w, c in counts[0].items() if sum(c.values()) > 1}
+    langs = sorted({lang for _, lang in sums})
+
+    def logs(n, g):
+        return [np.log((counts[n][g].get(x, 0) + 0.5) / (sums[n, x] + 0.5 * (len(counts[n]) + 1)))
+                for x in langs]
+
+    def grams(w, n):
+        padded = f" {w} " if n > 1 else w
+        return [padded[k:k + n] for k in range(max(1, len(padded) - n + 1))]
+
+    def predict(t):
+        words = re.findall(r"[^\W\d_]+", t.lower()) if t and any(c.isalpha() for c in t) else []
+        if not words:
+            return "und", 0.0, 0.0
+        total, seen = np.zeros(len(langs)), 0.0
+        for w in words:
+            n, found = 0, [w] if w in counts[0] else []
+            seen += bool(found) or np.mean([g in counts[3] for g in grams(w, 3)])
+            for n in range(language.ORDER, 0, -1) if not found else ():
+                found = [g for g in grams(w, n) if g in counts[n]]
+                if found:
+                    break
+            if found:
+                total += np.mean([logs(n, g) for g in found], axis=0)
+        p = np.exp(total - total.max())
+        return langs[int(np.argmax(total))], p.max() / p.sum() * seen / len(words), seen / len(words)
+
+    return predict
+
+
+def test_language_equals_plain_counts(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held = language.held_out(F.col("doc_id"))
+    learned = docs.where(~held & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    predict = brute_language([(r.text, r.lang) for r in learned.collect()])
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = queries.op8_language(spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        lang, score, _ = predict(texts[r.doc_id])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-6, r
+    model = language.fit(docs.where(~held))
+    odd = ["xqzj wvkq zzxw qqqj", "привет мир как дела", "Äé", None, "7", "e", LONG]
+    for (lang, score, known), t in zip(model.predict_many(odd), odd, strict=True):
+        want = predict(t)
+        assert lang == want[0] and abs(score - want[1]) < 1e-6 and abs(known - want[2]) < 1e-9
+    kept = language.keep_identified(spark.createDataFrame([(t,) for t in odd], "text string"), model)
+    assert {r.text for r in kept.collect()} == {t for t in odd if predict(t)[2] >= 0.5}
+    assert not {odd[0], odd[1]} & {r.text for r in kept.collect()}
+
+
+def test_a_rare_language_is_learned_from_a_large_table(spark):
+    rows = [(f"alpha beta w{k}", "xx") for k in range(400)] + [("gamma delta gamma", "yy")] * 3
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"), documents=50)
+    assert model.langs == ["xx", "yy"] and model.predict("gamma delta")[0] == "yy"
+
+
 def test_language(spark, sf_dir):
     docs = spark.read.parquet(sf_dir.replace("0.001", "0.01") + "/documents.parquet")
     held = language.held_out(F.col("doc_id"))
@@ -451,7 +538,8 @@ def test_words_come_before_grams():
     logs = np.log(np.array([[0.9, 0.1], [0.1, 0.9], [0.2, 0.8]]))
     model = language.Model(["a", "b"], [{"alpha": 0}, {}, {}, {}, {"alph": 1, "beta": 2}], logs)
     assert model.predict("alpha")[0] == "a" and model.predict("alphabeta")[0] == "b"
-    assert model.predict("zzz") == ("a", 0.5)
+    assert model.predict_many(["zzz", "alpha zzz"])[0] == ("a", 0.0, 0.0)
+    assert model.predict_many(["alpha zzz"])[0][2] == 0.5
 
 
 URLS = [(1, "https://WWW.Example.ORG/es/1?x#y"), (2, "http://a.example.org/en/12"), (3, "x.com/de/"), (4, None),
@@ -546,7 +634,9 @@ def test_pipeline(spark, sf_dir, tokens):
     got = {r.doc_id: r for r in out.collect()}
     assert len(got) == out.count() and all(r.round_trip for r in got.values())
     # the same by hand: what a stage drops follows from the rows that the one before kept
-    left = [r for r in rows if any(c.isalpha() for c in r.text or "")]
+    learned = docs.where(~language.held_out(F.col("doc_id")) & F.col("lang").isNotNull())
+    predict = brute_language([(r.text, r.lang) for r in learned.collect() if r.text])
+    left = [r for r in rows if predict(r.text)[2] >= language.LEAST_KNOWN]
     classes, _ = brute_classes([(r.doc_id, r.text) for r in left], cp.SIMILARITY)
     left = [r for r, c in zip(left, classes, strict=True) if c == r.doc_id]
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet")
