@@ -65,11 +65,11 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("token_ids", "n_tokens", "round_trip")]
     text = F.col("text")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), text.alias("text"))
-    rows = rows.withColumn("ids", bpe.encode(text, tokens, public_tokenizers.PATTERN, spark))
-    rows = rows.withColumn("back", bpe.decode(F.col("ids"), tokens, spark))
-    same = F.col("back") == F.coalesce(text, F.lit("")).cast("binary")
-    return rows.select("row.*", F.col("ids").alias("token_ids"),
-                       F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
+    both = bpe.encode_and_back(text, tokens, public_tokenizers.PATTERN, spark)
+    rows = rows.withColumn("b", both)
+    same = F.col("b.back") == F.coalesce(text, F.lit("")).cast("binary")
+    return rows.select("row.*", F.col("b.ids").alias("token_ids"),
+                       F.size("b.ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
