@@ -21,6 +21,7 @@ from icegrid.operators.tiles import neighbour_tiles
 from icegrid.plans import region
 from icegrid.plans.prepare import PointRules
 from icegrid.session import scratch_dir
+from icegrid.sources.fits import read_fit
 
 SPEC = FitSpec(
     width=6e4, z0_spacing=1e4, dz_spacing=2e4, dt=1.0, t_start=1995.0, n_epochs=8, ref_epoch=3,
@@ -110,14 +111,20 @@ def masked_fit(spark, d):
     return rounded(average_z0(solution_tables(fit_once(p, FIRM, factors=factors), FIRM)["z0"], FIRM), 3)
 
 
-def _passes(n: int) -> str:
-    """Passes 1 ... n of the edited fit; done{k} holds the points whose tile ends with pass k."""
+def _passes(n: int, remade: str = "") -> str:
+    """Passes 1 ... n of the edited fit; done{k} holds the points whose tile ends with pass k.
+
+    remade makes factors{k} of pass k from the solution sol{j} of the one before."""
     out = ["used1 as materialized (select k, x0, y0, true flag from u)"]
     for k in range(1, n + 1):
         cons = "" if k == 1 else f"cons{k} as (select * from cons1),"
+        factors = None
+        if remade and k > 1:
+            factors = f"factors{k}"
+            cons += f"{factors} as ({remade.format(j=k - 1)}),"
         first = f"{systems.STENCILS},{systems.constraints(FIRM, '1')}," if k == 1 else ""
         out.append(f"""
-nd{k} as (select nd.* from nd join used{k} using (k) where flag),{first}{cons}{systems.solved(FIRM, str(k))},
+nd{k} as (select nd.* from nd join used{k} using (k) where flag),{first}{cons}{systems.solved(FIRM, str(k), factors=factors)},
 est{k} as (select k, sum(c*coalesce(v, 0)) z_est from nd left join sol{k} using (x0, y0, node) group by k),
 res{k} as materialized (select k, p.x0, p.y0, flag, z_est, (z-z_est)/sigma rs from used{k} p join est{k} using (k) join u using (k)),
 new{k} as materialized (select k, x0, y0, z_est, flag, abs(rs) < 3*greatest(spread, 1) good from res{k} join (
@@ -138,6 +145,48 @@ def edited_fit(spark, d):
     return rounded(out, 3)
 
 
+# below this height a pass takes the ground as off the mask in the next one
+LEVEL = 150.0
+REMADE = f"""select x0, y0, node, case when v < {LEVEL} then 10e0 else 1e0 end factor from sol{{j}} where node < 49
+  union all select x0, y0, 49 + node//14*4 + node%7//2, case when v < {LEVEL} then 10e0 else 1e0 end
+  from sol{{j}} where node < 49 and node%7%2 = 0 and node//7%2 = 0"""
+
+
+@query("remasked_fit", "FIT-13 FIT-7", sql("pts tpts", f"""
+with recursive {systems.observations(FIRM, "")},{_passes(3, REMADE)}
+select x0, y0, oid, lno, ref_pt, {r('z', 'z', 3)}, {r('z_est', 'z_est', 3)}, flag three_sigma_edit
+from u join ({' union all '.join(f"select * from done{k}" for k in range(1, 4))}) using (k)"""))
+def remasked_fit(spark, d):
+    """Each pass makes the mask of the next one: where the surface is low, limits are relaxed."""
+
+    def update_mask(tables):
+        factor = F.when(F.col("z0") < LEVEL, 10.0).otherwise(1.0).alias("factor")
+        z0 = tables["z0"]
+        own = z0.select("x0", "y0", (F.col("j") * 7 + F.col("i")).cast("long").alias("node"), factor)
+        both = z0.where((F.col("i") % 2 == 0) & (F.col("j") % 2 == 0))
+        node = 49 + F.col("j") / 2 * 4 + F.col("i") / 2
+        return own.unionByName(both.select("x0", "y0", node.cast("long").alias("node"), factor))
+
+    fit = robust_fit(tpts(spark, d), FIRM, max_iterations=3, update_mask=update_mask)
+    out = fit["data"].select("x0", "y0", "oid", "lno", "ref_pt", "z", "z_est", "three_sigma_edit")
+    return rounded(out, 3)
+
+
+@query("stored_points", "SNK-7 SRC-6", sql("pts tpts", f"""
+with s as (select * from tpts where sigma < 0.2e0),
+q as (select *, floor((x-(x0-3e4))/7500) bi, floor((y-(y0-3e4))/7500) bj, z-dem_h r from s),
+m as (select x0, y0, bi, bj, median(r) med from q group by all)
+select x0, y0, oid, lno, ref_pt, {r('z', 'z')}, abs(r-med) < 300 three_sigma_edit
+from q join m using (x0, y0, bi, bj) where y0 >= 0 and y >= y0"""))
+def stored_points(spark, d):
+    """A run that stops at the points; the northern half of the northern tiles is read back."""
+    path = scratch_dir(spark, "points")
+    rules = PointRules(sigma_tol=0.2, dem_tol=300.0, min_points=1, min_span=0.0)
+    region.prelim(pts(spark, d), rules, FIRM, path, mode="data_only")
+    back = read_fit(spark, path, "data").where("y0 >= 0 and y >= y0")
+    return rounded(back.select("x0", "y0", "oid", "lno", "ref_pt", "z", "three_sigma_edit"))
+
+
 @query("fit_errors", "FIT-10 RAS-6 JON-3", sql("pts tpts", f"""
 with recursive {systems.observations(FIRM.coarser(2, 1), "")},{systems.fitted(FIRM.coarser(2, 1), "", variances=True)},
 coarse as (select x0, y0, node%4 i, node//4 j, sqrt(var) s from sol where node < 16)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from icegrid.fit.design import TILE, FitSpec
+from icegrid.fit.robust import robust_fit
+from icegrid.operators.aggregate import robust_spread
 from icegrid.operators.ordered import interp_at, track_segments
-from icegrid.operators.skew import attach
-from icegrid.session import by_group
+from icegrid.operators.skew import attach, keep, number_rows
+from icegrid.session import cut_lineage
 
 # Factors tried, expected curvature, gap length, node spacing and strip width.
 SCALES = (0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0)
@@ -22,60 +24,31 @@ TRACK = ["rgt", "pair"]
 PLACE = [*TRACK, "seg", "pt0"]
 
 
-def _spread(v: np.ndarray) -> float:
-    low, high = np.percentile(v, [16, 84])
-    return (high - low) / 2
+# Least number of points that a segment keeps.
+FEWEST = 3
 
 
-def _roughness(n: int) -> np.ndarray:
-    """Squared curvature and slope of n nodes; divided by the square of the expected curvature
-    it is the constraint."""
-    area = SPACING * STRIP
-    bend = np.diff(np.eye(n), 2, axis=0) / SPACING**2
-    tilt = np.diff(np.eye(n), axis=0) / SPACING / GAP_SCALE
-    return (bend.T @ bend + tilt.T @ tilt) * area
+def strip_spec(length: float) -> FitSpec:
+    """A fit of one segment: a strip of two rows of nodes that stands for STRIP metres across.
 
-
-def _profiles(x: np.ndarray, z: np.ndarray, sigma: np.ndarray, expected: list[float]):
-    """Smooth profiles through points, one per expected curvature, edited at three spreads.
-
-    Returns the spread of the scaled residuals and the number of points kept for each.
+    Both rows see the points alike, so they are equal, and the strip is a profile. There is no
+    change in time.
     """
-    n = max(int(np.ceil((x.max() - x.min()) / SPACING)) + 1, 3)
-    u = (x - x.min()) / SPACING
-    i = np.minimum(np.floor(u).astype(int), n - 2)
-    rows = np.zeros((len(x), n))
-    rows[np.arange(len(x)), i] = 1 - (u - i)
-    rows[np.arange(len(x)), i + 1] = u - i
-    rough = _roughness(n) + 1e-12 * np.eye(n)
-    out = []
-    for e in expected:
-        keep = np.ones(len(x), bool)
-        for _ in range(5):
-            a = rows[keep] / sigma[keep, None]
-            m = np.linalg.solve(a.T @ a + rough / e**2, a.T @ (z[keep] / sigma[keep]))
-            r = (z - rows @ m) / sigma
-            spread = _spread(r[keep])
-            new = np.abs(r) < 3 * max(spread, 1.0)
-            if (new == keep).mean() > 0.999 or new.sum() < 3:
-                break
-            keep = new
-        out.append((spread, int(keep.sum())))
-    return out
-
+    share = float(np.sqrt(SPACING / STRIP))
+    return FitSpec(
+        width=float(np.ceil(length / SPACING) * SPACING), height=SPACING, z0_spacing=SPACING,
+        dz_spacing=SPACING, dt=1.0, t_start=0.0, n_epochs=2, ref_epoch=0,
+        e_d2z0_dx2=E_CURVATURE * share, e_dz0_dx=E_CURVATURE * GAP_SCALE * share,
+    )
 
-def l_curve(
-    points: DataFrame, width: float, scales: tuple[float, ...] = SCALES, min_fill: float = 0.9
-) -> DataFrame:
-    """Residual spread of each track segment for each factor on the expected curvature.
 
-    points holds rgt, pair, ref_pt, cycle, x_atc, z, sigma. Measurements at one reference
-    point and cycle are averaged, so a task fits at most three segment lengths of points.
-    """
+def segment_members(points: DataFrame, width: float, min_fill: float) -> DataFrame:
+    """Points of the chosen cycle of each segment, one per reference point, under PLACE."""
     dn = int(np.ceil(width / 20))
     good = points.where("z is not null and sigma > 0")
+    where = [c for c in ("x", "y") if c in points.columns]
     nodes = good.groupBy(*TRACK, "cycle", "ref_pt").agg(
-        F.avg("x_atc").alias("x_atc"), F.avg("z").alias("z"), F.avg("sigma").alias("sigma")
+        *[F.avg(c).alias(c) for c in ("x_atc", "z", "sigma", *where)]
     )
     chosen = track_segments(nodes, dn, TRACK, min_fill).select(*PLACE, "cycle")
     # members of a segment lie within 1.5 dn of its centre; those of the chosen cycle are fitted
@@ -87,21 +60,58 @@ def l_curve(
     )
     member = attach(nodes, first, TRACK).where(F.ceil(spot + 3) - 1 >= 0)
     member = member.withColumn("seg", F.explode(spread)).drop("_p0")
-    rows = member.join(chosen, [*TRACK, "seg", "cycle"])
+    return member.join(chosen, [*TRACK, "seg", "cycle"])
 
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x, z, s = (pdf[c].to_numpy() for c in ("x_atc", "z", "sigma"))
-        expected = [E_CURVATURE * k for k in scales]
-        found = _profiles(x, z, s, expected)
-        return pd.DataFrame({
-            **dict(zip(PLACE, key)), "scale": scales,
-            "expected": expected,
-            "spread": [f[0] for f in found], "n": [f[1] for f in found],
-        })
 
-    schema = ("rgt int, pair int, seg int, pt0 double, scale double, expected double, "
-              "spread double, n int")
-    return by_group(rows, PLACE).groupBy(*PLACE).applyInPandas(one, schema)
+def l_curve(
+    points: DataFrame, width: float, scales: tuple[float, ...] = SCALES, min_fill: float = 0.9,
+    max_iterations: int = 5,
+) -> DataFrame:
+    """Residual spread of each track segment for each factor on the expected curvature.
+
+    points holds rgt, pair, ref_pt, cycle, x_atc, z, sigma and may hold x and y. Measurements at
+    one reference point and cycle are averaged, so a segment has at most three segment lengths of
+    points. Returns, under PLACE and scale, the expected curvature, the spread of the scaled
+    residuals of the points kept, their number n, the share kept, and the mean x, y and z of the
+    segment (NULL without x and y).
+
+    Every pair of segment and factor is a tile of the robust fit, the factor one on the limits of
+    its constraints; so all are edited and solved together. Points must lie within 1.5 widths of
+    the middle of their segment, or the query fails. Runs jobs.
+    """
+    member = segment_members(points, width, min_fill)
+    mid = (F.min("x_atc") + F.max("x_atc")) / 2
+    where = {c: F.avg(c) if c in member.columns else F.lit(None).cast("double") for c in ("x", "y")}
+    places = member.groupBy(*PLACE).agg(
+        mid.alias("_mid"), F.avg("z").alias("mean_z"),
+        *[v.alias(f"mean_{c}") for c, v in where.items()])
+    places = number_rows(places, PLACE, "_n")
+    spec = strip_spec(3 * width + 4 * SPACING)
+    # tiles lie side by side: segments along x, factors along y
+    step = 2 * spec.width
+    rows = attach(member.drop("x", "y"), places.select(*PLACE, "_mid", "_n"), PLACE, "inner")
+    off = F.col("x_atc") - F.col("_mid")
+    far = F.raise_error(F.lit("a point lies outside its segment")).cast("double")
+    off = F.when(F.abs(off) <= spec.width / 2, off).otherwise(far)
+    factor = F.posexplode(F.array(*[F.lit(float(k)) for k in scales])).alias("_k", "scale")
+    data = rows.select("z", "sigma", F.lit(0.0).alias("time"), (F.col("_n") * step).alias("x0"),
+                       off.alias("_off"), factor)
+    data = data.select("z", "sigma", "time", "x0", (F.col("_k") * step).alias("y0"), "scale",
+                       (F.col("x0") + F.col("_off")).alias("x")).withColumn("y", F.col("y0"))
+    tiles = data.groupBy(*TILE).agg(F.first("scale").alias("factor"), F.count("*").alias("_all"))
+    tiles = cut_lineage(tiles.where(F.col("_all") >= FEWEST))
+    nodes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spec.n_z0 - 1).cast("long")))
+    factors = tiles.select(*TILE, nodes.alias("node"), "factor")
+    fit = robust_fit(keep(data.drop("scale"), tiles, TILE), spec, max_iterations, factors=factors)
+    used = fit["data"].where("three_sigma_edit").withColumn(
+        "_rs", (F.col("z") - F.col("z_est")) / F.col("sigma"))
+    found = attach(tiles, robust_spread(used, TILE, F.col("_rs"), "spread"), TILE)
+    found = attach(found, used.groupBy(*TILE).agg(F.count("*").cast("int").alias("n")), TILE)
+    found = found.withColumn("_n", F.rint(F.col("x0") / step).cast("long"))
+    out = attach(found, places.drop("_mid"), ["_n"], "inner")
+    return out.select(
+        *PLACE, F.col("factor").alias("scale"), (F.lit(E_CURVATURE) * F.col("factor")).alias("expected"),
+        "spread", "n", (F.col("n") / F.col("_all")).alias("kept"), "mean_x", "mean_y", "mean_z")
 
 
 def best_scale(curve: DataFrame) -> DataFrame:
@@ -110,8 +120,10 @@ def best_scale(curve: DataFrame) -> DataFrame:
     # a segment has one row per factor
     least = F.min("spread").over(Window.partitionBy(*PLACE))
     rows = usable.withColumn("spread_min", least)
-    return interp_at(rows, [*PLACE, "spread_min"], "spread", {
+    keys = [*PLACE, *[c for c in ("mean_x", "mean_y", "mean_z") if c in curve.columns], "spread_min"]
+    return interp_at(rows, keys, "spread", {
         "e_for_spread_1": (F.lit(1.0), "expected"),
         "n_at_spread_1": (F.lit(1.0), "n"),
+        "kept_at_spread_1": (F.lit(1.0), "kept"),
         "e_10pct_above_min": (1.1 * F.col("spread_min"), "expected"),
     }, loglog=True)

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from icegrid.fit import scales, solve
 from icegrid.fit import (
     FitSpec, bias_groups, design_rows, edge_priors, evaluate, fit_errors, normal_equations,
     robust_fit, sigma_extra, solution_tables,
@@ -309,6 +310,96 @@ def test_extra_error(spark):
     assert sigma_extra(spark.createDataFrame(pdf)).first()["sigma_extra"] == 3.0
 
 
+def plain_profile(x, z, sigma, expected, width, rounds=5):
+    """Spread and number kept of a smooth profile as wide as a strip, edited at three spreads."""
+    n = round(width / scales.SPACING) + 1
+    u = (x - (x.min() + x.max()) / 2 + width / 2) / scales.SPACING
+    i = np.minimum(np.floor(u).astype(int), n - 2)
+    rows = np.zeros((len(x), n))
+    rows[np.arange(len(x)), i], rows[np.arange(len(x)), i + 1] = 1 - (u - i), u - i
+    bend = np.diff(np.eye(n), 2, axis=0) / scales.SPACING**2
+    tilt = np.diff(np.eye(n), axis=0) / scales.SPACING / scales.GAP_SCALE
+    rough = (bend.T @ bend + tilt.T @ tilt) * scales.SPACING * scales.STRIP / expected**2
+    kept = np.ones(len(x), bool)
+    for step in range(rounds):
+        a = rows[kept] / sigma[kept, None]
+        m = np.linalg.solve(a.T @ a + rough + 1e-12 * np.eye(n), a.T @ (z[kept] / sigma[kept]))
+        r = (z - rows @ m) / sigma
+        low, high = np.percentile(r[kept], [16, 84])
+        spread = (high - low) / 2
+        new = np.abs(r) < 3 * max(spread, 1.0)
+        if step == rounds - 1 or (new != kept).mean() < 0.001:
+            return spread, kept.sum()
+        kept = new
+
+
+def test_scale_search_equals_plain_profiles(spark):
+    rng = np.random.default_rng(12)
+    ref = np.arange(0, 300)
+    x = ref * 20.0
+    z = 20 * np.sin(2 * np.pi * x / 1500) + 0.2 * rng.standard_normal(len(x))
+    z[::17] += 30
+    pdf = pd.DataFrame({"rgt": 1, "pair": 1, "ref_pt": ref, "cycle": 3, "x_atc": x, "z": z, "sigma": 0.2,
+                        "x": x / 2, "y": -x})
+    data = spark.createDataFrame(pdf)
+    curve = l_curve(data, 2000.0, scales=(0.1, 1.0, 100.0)).toPandas()
+    member = scales.segment_members(data, 2000.0, 0.9).toPandas()
+    assert set(curve["scale"]) == {0.1, 1.0, 100.0} and len(curve) == 3 * member["seg"].nunique()
+    for _, c in curve.iterrows():
+        m = member[member["seg"] == c["seg"]].sort_values("x_atc")
+        spread, n = plain_profile(*(m[k].to_numpy() for k in ("x_atc", "z", "sigma")), c["expected"],
+                                  scales.strip_spec(3 * 2000.0 + 4 * scales.SPACING).width)
+        assert c["spread"] == pytest.approx(spread, rel=1e-4) and c["n"] == n
+        assert c["kept"] == pytest.approx(c["n"] / len(m))
+        assert c["mean_x"] == pytest.approx(m["x"].mean()) and c["mean_y"] == pytest.approx(m["y"].mean())
+
+
+def test_nested_lattices_solve_as_the_direct_solver(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    spec = FitSpec(width=4e3, z0_spacing=100, dz_spacing=500, dt=0.5, t_start=2019.0, n_epochs=5,
+                   ref_epoch=2, bias_params=("cycle",))
+    n = 6000
+    pdf = pd.DataFrame({"x0": 0.0, "y0": 0.0, "cycle": rng.integers(0, 4, n), "sigma": 0.1,
+                        "x": rng.uniform(-2000, 2000, n), "y": rng.choice(np.linspace(-1800, 1800, 9), n),
+                        "time": rng.uniform(2019, 2021, n), "sigma_corr": 0.3})
+    pdf["z"] = 30 * np.sin(pdf["x"] / 900) + 2 * (pdf["time"] - 2020) + 0.1 * rng.standard_normal(n)
+    points = spark.createDataFrame(pdf).withColumn("cycle", F.col("cycle").cast("int"))
+    factors = spark.createDataFrame([(0.0, 0.0, k, 10.0) for k in range(300)],
+                                    "x0 double, y0 double, node long, factor double")
+    rows = system_rows(points, spec, bias_groups(points, spec.bias_params), factors).toPandas()
+    system = solve.TileSystem(rows, spec)
+    direct, _ = system.solve()
+    monkeypatch.setattr(solve, "DENSE_NODES", 10)
+    nested, misfit = system.solve()
+    assert misfit <= 1e-9 and np.abs(nested - direct).max() < 1e-3 * np.abs(direct).max()
+    guide = solve.Nested(system, spec)
+    a, b = rng.standard_normal((2, system.n))
+    assert a @ guide(b) == pytest.approx(b @ guide(a), rel=1e-4) and a @ guide(a) > 0
+    rounds = system.rounds
+    system.start = nested
+    assert np.abs(system.solve()[0] - nested).max() < 1e-6 * np.abs(nested).max() and system.rounds < rounds / 4
+    monkeypatch.setattr(solve, "Nested", lambda s, _: lambda r: r / np.where(s.diagonal() > 0, s.diagonal(), 1))
+    system.start = 0 * nested
+    system.solve()
+    assert rounds < system.rounds / 2
+
+
+def test_tiles_that_are_done_are_not_fitted_again(spark):
+    rng = np.random.default_rng(5)
+    spec = FitSpec(width=2e3, z0_spacing=500, dz_spacing=1000, dt=1.0, t_start=2019.0, n_epochs=2, ref_epoch=0)
+    pdf = pd.DataFrame({"x0": np.repeat([0.0, 4e3], 400), "y0": 0.0, "sigma": 0.1,
+                        "time": 2019.0 + rng.uniform(0, 1, 800)})
+    pdf["x"] = pdf["x0"] + rng.uniform(-900, 900, 800)
+    pdf["y"], pdf["z"] = rng.uniform(-900, 900, 800), 0.01 * rng.standard_normal(800)
+    pdf.loc[pdf["x0"] > 0, "z"] += np.where(rng.random(400) < 0.1, 50, 0)
+    points = spark.createDataFrame(pdf)
+    factors = spark.createDataFrame([(x, 0.0, k, 1.0) for x in (0.0, 4e3) for k in range(34)],
+                                    "x0 double, y0 double, node long, factor double")
+    fit = robust_fit(points, spec, 5, factors=factors, update_mask=lambda t: factors)
+    assert fit["z0"].groupBy("x0", "i", "j").count().where("count > 1").count() == 0
+    assert fit["z0"].count() == 2 * spec.n_z0 and fit["data"].count() == 800
+
+
 def test_scale_search_finds_noise_level(spark):
     rng = np.random.default_rng(11)
     ref = np.arange(0, 400)

@@ -247,6 +247,29 @@ def test_dilation_and_opening_by_hand(spark, n):
     assert np.array_equal(as_array(got), opened)
 
 
+@pytest.mark.parametrize("n", [2, 3, 7, 40])
+def test_stencils_on_a_table_with_holes(spark, n):
+    rng = np.random.default_rng(n)
+    cells = [(x - 4, y + 3, int(rng.random() < (0.1 if n < 5 else 0.9)) if rng.random() > 0.05 else None)
+             for y in range(14) for x in range(16) if rng.random() > 0.1]
+    value = {(x, y): v for x, y, v in cells}
+    df = spark.createDataFrame([(*c, k % 2) for c in cells for k in range(2)], "ix int, iy int, mask int, k int")
+
+    def line(v, at, lo, hi, axis):
+        return [v.get((at[0] + s, at[1]) if axis == 0 else (at[0], at[1] + s)) for s in range(lo, hi + 1)]
+
+    wide, kept = dict(value), dict(value)
+    for axis in (0, 1):
+        wide = {c: max((v for v in line(wide, c, -(n - 1 - n // 2), n // 2, axis) if v is not None), default=None)
+                for c in wide}
+        kept = {c: int(all(line(kept, c, -(n // 2), n - 1 - n // 2, axis))) for c in kept}
+    for fn, want in ((raster.dilate, wide), (raster.erode, kept)):
+        got = fn(df, n, n, "mask", ["k"])
+        assert got.dtypes == df.dtypes
+        assert {(r.ix, r.iy): r.mask for r in got.where("k = 1").collect()} == want
+        assert got.count() == 2 * len(cells)
+
+
 def test_gaussian_fill_by_hand(spark):
     rng = np.random.default_rng(3)
     z = rng.random((9, 11))
