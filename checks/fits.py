@@ -31,10 +31,12 @@ BY_CYCLE = FitSpec(**{**SPEC.__dict__, "bias_params": ("cycle",)})
 
 # With the loose limits of SPEC, nodes beyond the points hang on rounding, so digits of two
 # solvers differ there. Limits of slopes, the terms SPEC leaves out, make all nodes well known.
-FIRM = FitSpec(**{**SPEC.__dict__, "dt": 1.75, "n_epochs": 5, "ref_epoch": 2, "e_dz0_dx": 0.02,
-                  "e_d2z_dxdt": 0.02, "e_d2z0_dx2": 2e-5, "e_d3z_dx2dt": 2e-6, "e_d2z_dt2": 200.0})
+FIRM = FitSpec(**{**SPEC.__dict__, "e_dz0_dx": 0.02, "e_d2z_dxdt": 0.02, "e_d2z0_dx2": 2e-5, "e_d3z_dx2dt": 2e-6, "e_d2z_dt2": 200.0})
 FIRM_BY_CYCLE = FitSpec(**{**FIRM.__dict__, "bias_params": ("cycle",)})
 
+# nodes that fall on multiples of their spacing, so that the tiles of a map share them
+ON_MAP = FitSpec(**{**FIRM_BY_CYCLE.__dict__, "dz_spacing": 1e4})
+
 # nodes of a tile: 7 x 7 of the surface, then 8 epochs of 4 x 4 of its change
 DESIGN = systems.observations(SPEC, "")
 
@@ -83,10 +85,10 @@ def sigma_extras(spark, d):
 with recursive {systems.observations(FIRM_BY_CYCLE, "")},
 biases as (select x0, y0, {systems.FIRST_BIAS}+"cycle" node, median(sigma_corr) expected from u group by all),
 {systems.fitted(FIRM_BY_CYCLE, "", biases="biases")},
-change as (select x0, y0, node, v from sol where node between 49 and 128
-  union all select x0, y0, 81+range, 0e0 from t, range(16))
+change as (select x0, y0, node, v from sol where node between 49 and 176
+  union all select x0, y0, 97+range, 0e0 from t, range(16))
 select x0, y0, cast((node-49)%4 as int) i, cast((node-49)//4%4 as int) j, cast((node-49)//16 as int) it, {r('v', 'dz', 3)},
-  x0-3e4+(node-49)%4*2e4 x, y0-3e4+(node-49)//4%4*2e4 y, 1995e0+(node-49)//16*1.75e0 t from change"""))
+  x0-3e4+(node-49)%4*2e4 x, y0-3e4+(node-49)//4%4*2e4 y, 1995e0+(node-49)//16*1e0 t from change"""))
 def surface_fit(spark, d):
     """All tiles, with one bias per cycle."""
     p = tpts(spark, d).where(inside(FIRM_BY_CYCLE))
@@ -255,17 +257,37 @@ def masked_components(spark, d):
     return components.mask_by_component(marked).select("ix", "iy", "it", "dz", "cell_area")
 
 
+@query("edge_points", "JON-8 SET-5 SRC-6", sql("pts tpts", """
+with held as (select p.*, n.nx0, n.ny0 from tpts p join (
+   select distinct nx0, ny0, nx0+i x0, ny0+j y0 from (select distinct x0+m.i nx0, y0+m.j ny0 from tpts,
+     (values (-2e4,0e0),(2e4,0e0),(0e0,2e4),(0e0,-2e4)) m(i,j)), (values (-2e4),(0e0),(2e4)) a(i), (values (-2e4),(0e0),(2e4)) b(j)) n
+   using (x0, y0) where sigma < 0.2e0 and abs(x-nx0) <= 3e4 and abs(y-ny0) <= 3e4),
+b as (select *, round_even((x-5000)/1e4,0)*1e4+5000 bx, round_even((y-5000)/1e4,0)*1e4+5000 byy from held),
+o as (select nx0, ny0, bx, byy, arg_min({'x0': x0, 'y0': y0}, (((bx-x0)*(bx-x0)+(byy-y0)*(byy-y0))::double, x0, y0)) o
+  from (select distinct nx0, ny0, bx, byy, x0, y0 from b) group by all)
+select b.nx0 x0, b.ny0 y0, b.x0 source_x0, b.y0 source_y0, count(*) n, sum(z) z_sum from b
+join o using (nx0, ny0, bx, byy) where b.x0 = o.o.x0 and b.y0 = o.o.y0 group by all"""))
+def edge_points(spark, d):
+    """Tiles between the stored ones, made of the points of the nearest of these."""
+    path = scratch_dir(spark, "points")
+    rules = PointRules(sigma_tol=0.2, dem_tol=None, min_points=1, min_span=0.0)
+    region.store_points(pts(spark, d), rules, path)
+    found = region.step_points(spark, path, "edges", 6e4, 4e4)
+    return found.groupBy("x0", "y0", "source_x0", "source_y0").agg(
+        F.count("*").alias("n"), F.sum("z").alias("z_sum"))
+
+
 @query("region_products", "SNK-1 SNK-2 SNK-3 SNK-4 SRC-6 FIT-6 FIT-7 FIT-9 FIT-10 FIT-11 MOS-1 MOS-4")
 def region_products(spark, d):
     """First fits, errors, matched fits, mosaics and products, step by step on disk."""
     first, second = scratch_dir(spark, "prelim"), scratch_dir(spark, "matched")
     rules = PointRules(sigma_tol=0.2, dem_tol=400.0, edit_width=4e4)
-    region.prelim(pts(spark, d), rules, BY_CYCLE, first, max_iterations=2)
-    region.errors(spark, first, BY_CYCLE, scale=(2, 1), lags=(1,))
-    region.matched(spark, first, second, BY_CYCLE, 4e4, sigma_scale=2.0)
-    grids = region.mosaics(spark, second, first, BY_CYCLE, 4e4)
+    region.prelim(pts(spark, d), rules, ON_MAP, first, max_iterations=2)
+    region.errors(spark, first, ON_MAP, scale=(2, 2), lags=(1, 2), scales=(20000, 40000))
+    region.matched(spark, first, second, ON_MAP, 4e4, sigma_scale=2.0)
+    grids = region.mosaics(spark, second, first, ON_MAP, 4e4, (20000, 40000))
     grids["dz"] = grids["dz"].withColumn("t", F.col("t") + 24)
-    out = region.region_products(grids, BY_CYCLE, (1, 2), (40000,))
+    out = region.region_products(grids, ON_MAP, (1, 2), (20000, 40000))
     dem = out["dem"].select("x", "y", F.col("h").alias("value"), F.col("h_sigma").alias("sigma"))
     change = out["change"].select(
         "scale_m", "lag", "x", "y", "time", F.coalesce("delta_h", "dhdt").alias("value"),

@@ -41,23 +41,26 @@ def assign_tiles(df: DataFrame, width: float = 6e4, spacing: float = 4e4) -> Dat
 
 
 def nearest_tile_dedupe(
-    df: DataFrame, bin_m: float = 1e4, order: list[str] | None = None
+    df: DataFrame, bin_m: float = 1e4, order: list[str] | None = None,
+    within: list[str] | None = None,
 ) -> DataFrame:
     """Of points held by several tiles keep, bin by bin, those of the nearest tile.
 
     Near means the tile centre to the bin centre. Among equally near tiles the first by the
-    order columns wins, then by x0, y0.
+    order columns wins, then by x0, y0. Rows that differ in the columns within are kept apart.
     """
+    within = within or []
     df = df.withColumns({
         "_bx": bin_centre(F.col("x"), bin_m), "_by": bin_centre(F.col("y"), bin_m)
     })
     dx, dy = F.col("_bx") - F.col("x0"), F.col("_by") - F.col("y0")
     rank = [F.min(c).alias(c) for c in (order or [])]
-    seen = df.groupBy("_bx", "_by", "x0", "y0").agg(F.min(dx * dx + dy * dy).alias("_d"), *rank)
+    seen = df.groupBy(*within, "_bx", "_by", "x0", "y0").agg(F.min(dx * dx + dy * dy).alias("_d"), *rank)
     key = F.struct("_d", *(order or []), "x0", "y0")
-    owner = seen.groupBy("_bx", "_by").agg(F.min_by(F.struct("x0", "y0"), key).alias("_o"))
-    owner = owner.select("_bx", "_by", "_o.*")
-    return keep(df, owner, ["_bx", "_by", "x0", "y0"]).drop("_bx", "_by")
+    owner = seen.groupBy(*within, "_bx", "_by").agg(
+        F.min_by(F.struct("x0", "y0"), key).alias("_o"))
+    owner = owner.select(*within, "_bx", "_by", "_o.*")
+    return keep(df, owner, [*within, "_bx", "_by", "x0", "y0"]).drop("_bx", "_by")
 
 
 def neighbour_tiles(tiles: DataFrame, step: float, single: bool = False) -> DataFrame:
