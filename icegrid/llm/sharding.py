@@ -99,11 +99,11 @@ def write_shards(docs: DataFrame, path: str, shards: int, id_col: str = "doc_id"
     column named shard of docs is replaced.
     """
     places = assign_shards(docs, shards, id_col, text_col)
-    places = places.select(F.col(id_col).alias("_id"), F.col("group").alias("_g"), "shard")
-    places = places.distinct()
-    text = F.col(text_col)
-    named = docs.drop("shard").withColumns({"_id": F.col(id_col),
-                                            "_g": F.xxhash64(text, text.isNull())})
-    out = attach(named, places, ["_id", "_g"], "inner").drop("_id", "_g")
-    out.repartition("shard", F.pmod(F.xxhash64(id_col), F.lit(8))).write.partitionBy(
+    places = places.select(F.col(id_col).alias("id"), F.col("group").alias("key"), "shard")
+    text = F.col(f"`{text_col}`")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"])
+    named = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"),
+                        F.xxhash64(text, text.isNull()).alias("key"))
+    out = attach(named, places.distinct(), ["id", "key"], "inner").select("row.*", "shard")
+    out.repartition("shard", F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(8))).write.partitionBy(
         "shard").parquet(path)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -367,6 +368,19 @@ def test_shards(spark):
     assert sharding.assign_shards(documents(spark, DOCS).limit(0), 7).count() == 0
 
 
+def test_shard_values_and_files(spark, tmp_path):
+    docs = documents(spark).withColumns({"_id": F.lit("a"), "_g": F.lit("b"), "id": F.lit(3), "key": F.lit(4)})
+    sizes = sorted((str(r.doc_id), r.size, r.text_crc32) for r in sharding.assign_shards(docs, 3).collect())
+    assert sizes == sorted((str(i), len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in DOCS)
+    sharding.write_shards(docs, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(back.columns) == sorted(docs.columns)
+    key = [c for c in docs.columns if c != "shard"]
+    assert sorted(map(str, back.select(*key).collect())) == sorted(map(str, docs.select(*key).collect()))
+    places = {(r.doc_id, r.size): r.shard for r in sharding.assign_shards(docs, 3).collect()}
+    assert all(places[r.doc_id, len((r.text or "").encode()) + 16] == r.shard for r in back.collect())
+
+
 def test_schedule_is_longest_first():
     assert sharding.schedule([5, 9, 4, 4, 2], 2) == [1, 0, 1, 0, 1]
 
@@ -585,6 +599,47 @@ def test_quality(spark, sf_dir):
     assert quality.site_quality(odd.limit(0), labels).count() == 0
 
 
+def test_quality_equals_plain_posteriors(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("p", F.lit(2)).withColumn("host", F.lit("h"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = docs.select("doc_id", "text", "source", "lang").collect()
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    x = {r.doc_id: quality.features_of(r.text) for r in rows}
+    named = sorted(marks.keys() & x.keys())
+    w, b = quality.fit_logistic(np.array([x[i] for i in named]), np.array([float(marks[i]) for i in named]))
+    p = {i: 1 / (1 + np.exp(-np.clip(np.array(v) @ w + b, -12, 12))) for i, v in x.items()}
+    mean = np.mean(list(p.values()))
+
+    def groups(key):
+        out = defaultdict(list)
+        for r in rows:
+            out[key(r)].append(p[r.doc_id])
+        return out
+
+    def strength(found, prior):
+        n = np.array([len(v) for v in found.values()], float)
+        off = np.array([np.mean(v) - prior(k) for k, v in found.items()])
+        chance = mean * (1 - mean)
+        spread = ((n * off**2).sum() - len(n) * chance) / n.sum()
+        low, high = quality.STRENGTH
+        return min(high, max(low, chance / spread - 1)) if spread > 1e-12 else high
+
+    hosts, paths = groups(lambda r: r.source), groups(lambda r: (r.source, r.lang))
+    k = strength(hosts, lambda _: mean)
+    host = {h: (sum(v) + k * mean) / (len(v) + k) for h, v in hosts.items()}
+    j = strength(paths, lambda key: host[key[0]])
+    got = {r.doc_id: r for r in quality.site_quality(docs, labels).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        g, v = got[r.doc_id], paths[r.source, r.lang]
+        own, base = p[r.doc_id], j * host[r.source]
+        prior = (sum(v) - own + base) / (len(v) - 1 + j)
+        odds = sum(s * np.log(q / (1 - q)) for s, q in ((1, own), (1, prior), (-1, mean)))
+        want = (own, host[r.source], (sum(v) + base) / (len(v) + j), prior, 1 / (1 + np.exp(-odds)))
+        have = (g.doc_score, g.host_mean, g.path_mean, g.prior, g.quality)
+        assert np.allclose(have, want, rtol=1e-6, atol=1e-6), (r.doc_id, have, want)
+
+
 def test_sparse_sites_shrink_towards_the_prior(spark):
     rows = [(k, "word " * (k % 7 + 1), "big" if k < 300 else f"s{k}", "en") for k in range(320)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
