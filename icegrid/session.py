@@ -44,9 +44,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{_shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that a lost executor does not replay every earlier pass."""
+def few_parts(spark: SparkSession, size: int) -> int:
+    """Parts for a table of about size bytes: of 32 MB, and two at least for each core."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-size // (32 << 20)))
+
+
+def cut_lineage(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Reliable checkpoint, so that a lost executor does not replay every earlier pass.
+
+    With parts given, the table is written as at most so many files.
+    """
     spark = df.sparkSession
+    if parts:
+        df = df.coalesce(parts)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(_shared_dir(spark))
