@@ -23,7 +23,7 @@ from icegrid.llm.graph import components
 from icegrid.llm.sieve import sieve
 from icegrid.llm.text import WordHashes, blank_words, chunks, mix
 from icegrid.operators.skew import attach, keep, leave
-from icegrid.session import cut_lineage, scratch_dir
+from icegrid.session import cut_lineage, few_parts, scratch_dir
 
 SHINGLE = 5
 COORDINATES = 192
@@ -209,26 +209,29 @@ def near_duplicates(
     signed.select("id", "text_hash", "s.*").write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
 
+    # every table below has at most a row for each band of a set, or the sets themselves
+    count, hashes = rows.agg(F.count("*"), F.sum("n")).first()
+    parts = few_parts(spark, 32 * bands_for(threshold)[0] * count + 8 * (hashes or 0))
     one = F.min(F.struct("id", "text_hash"))
     sets = rows.where("n > 0").groupBy("node").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch"), one.alias("seen"),
     )
-    sets.write.parquet(f"{folder}/sets")
+    sets.coalesce(parts).write.parquet(f"{folder}/sets")
     sets = spark.read.parquet(f"{folder}/sets")
 
     placed = sets.select("node", F.explode("bands").alias("band"))
     buckets = placed.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     buckets = buckets.where("low <> high").drop("high")
-    members = cut_lineage(attach(placed, buckets, ["band"], "inner"))
+    members = cut_lineage(attach(placed, buckets, ["band"], "inner"), parts)
 
-    links = _star_links(members, ident, sets, threshold, size)
+    links = _star_links(members, ident, sets, threshold, size, parts)
     roots = components(links)
-    open_ = _open_blocks(members, roots, sets, threshold, block)
+    open_ = _open_blocks(members, roots, sets, threshold, block, parts)
     if not open_.isEmpty():
         known = roots.where("node <> root").select(
             F.col("node").alias("u"), F.col("root").alias("v"))
-        roots = components(known.unionAll(_block_links(open_, ident, sets, threshold, size)))
+        roots = components(known.unionAll(_block_links(open_, ident, sets, threshold, size, parts)))
     return _classes(rows, roots, id_col)
 
 
@@ -247,20 +250,21 @@ def _classes(rows: DataFrame, roots: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def _hashes(nodes: DataFrame, ident: DataFrame, sets: DataFrame, size: int) -> DataFrame:
+def _hashes(nodes: DataFrame, ident: DataFrame, sets: DataFrame, size: int,
+            parts: int | None) -> DataFrame:
     """node and its full set, made anew from one text for each of the nodes."""
     wanted = attach(sets.select("node", "seen"), nodes.distinct().withColumn("yes", F.lit(True)),
                     ["node"], "inner").select("node", "seen.*")
-    wanted = cut_lineage(wanted.withColumn("key", F.xxhash64("id", "text_hash")))
+    wanted = cut_lineage(wanted.withColumn("key", F.xxhash64("id", "text_hash")), parts)
     test = sieve(wanted, "key")
     texts = ident.withColumn("key", F.xxhash64("id", "text_hash")).where(test(F.col("key")))
     texts = attach(texts.drop("key"), wanted.drop("key"), ["id", "text_hash"], "inner")
     texts = texts.groupBy("node").agg(F.first("text").alias("text"))
-    return cut_lineage(texts.select("node", full_sets(F.col("text"), size).alias("set")))
+    return cut_lineage(texts.select("node", full_sets(F.col("text"), size).alias("set")), parts)
 
 
 def _star_links(members: DataFrame, ident: DataFrame, sets: DataFrame, threshold: float,
-                size: int) -> DataFrame:
+                size: int, parts: int | None = None) -> DataFrame:
     """Links u, v of members with the smallest of their bucket: by size, sketch and full sets."""
     pairs = members.where("node <> low").select(
         F.col("node").alias("a"), F.col("low").alias("b")).distinct()
@@ -271,9 +275,9 @@ def _star_links(members: DataFrame, ident: DataFrame, sets: DataFrame, threshold
     near = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b") - 1e-6
     pairs = pairs.where(near).withColumn("same", _agreement(F.col("s_a"), F.col("s_b")))
     pairs = pairs.where(F.col("same") >= least_agreement(threshold))
-    pairs = cut_lineage(pairs.drop("same", "s_a", "s_b"))
+    pairs = cut_lineage(pairs.drop("same", "s_a", "s_b"), parts)
     nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b"))
-    hashes = _hashes(nodes, ident, sets, size)
+    hashes = _hashes(nodes, ident, sets, size, parts)
     for end in ("a", "b"):
         pairs = attach(pairs, hashes.select(F.col("node").alias(end),
                                             F.col("set").alias(f"set_{end}")), [end], "inner")
@@ -281,11 +285,12 @@ def _star_links(members: DataFrame, ident: DataFrame, sets: DataFrame, threshold
     # in whole thousandths, so that a pair at the threshold is on the right side
     union = F.col("n_a") + F.col("n_b") - both
     similar = both * 1000 >= F.lit(round(threshold * 1000)) * union
-    return cut_lineage(pairs.where(similar).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return cut_lineage(pairs.where(similar).select(F.col("a").alias("u"), F.col("b").alias("v")),
+                       parts)
 
 
 def _open_blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, threshold: float,
-                 block: int) -> DataFrame:
+                 block: int, parts: int | None = None) -> DataFrame:
     """Members of several components in a bucket, without its smallest, that may be similar.
 
     A bucket's largest component and its other sets are cut into blocks by hash, of about block
@@ -296,9 +301,9 @@ def _open_blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, threshol
     """
     named = attach(members.where("node <> low").select("band", "node"), roots, ["node"])
     named = named.withColumn("root", F.coalesce("root", "node"))
-    rows = cut_lineage(attach(named, sets.select("node", "n"), ["node"], "inner"))
-    parts = rows.groupBy("band", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
-    mixed = parts.groupBy("band").agg(
+    rows = cut_lineage(attach(named, sets.select("node", "n"), ["node"], "inner"), parts)
+    shares = rows.groupBy("band", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    mixed = shares.groupBy("band").agg(
         F.count("*").alias("roots"), F.max(F.struct("c", "s", "root")).alias("most"),
         F.sum("c").alias("c"), F.sum("s").alias("s")).where("roots > 1")
 
@@ -324,16 +329,16 @@ def _open_blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, threshol
                        F.greatest("own", "other").alias("j"), "own", "node", "root", "n", "sketch",
                        "bands")
     pick = partial(_by_group, partial(_likely, least_agreement(threshold), threshold))
-    return cut_lineage(_grouped(rows).mapInPandas(pick, rows.schema))
+    return cut_lineage(_grouped(rows).mapInPandas(pick, rows.schema), parts)
 
 
 def _block_links(open_: DataFrame, ident: DataFrame, sets: DataFrame, threshold: float,
-                 size: int) -> DataFrame:
+                 size: int, parts: int | None = None) -> DataFrame:
     """Links u, v that join all similar members of each group, by their full sets."""
-    hashes = _hashes(open_.select("node"), ident, sets, size)
+    hashes = _hashes(open_.select("node"), ident, sets, size, parts)
     rows = attach(open_, hashes, ["node"], "inner")
     link = partial(_by_group, partial(_confirmed, least_agreement(threshold), threshold))
-    return cut_lineage(_grouped(rows).mapInPandas(link, "u long, v long"))
+    return cut_lineage(_grouped(rows).mapInPandas(link, "u long, v long"), parts)
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
