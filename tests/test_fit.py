@@ -417,3 +417,32 @@ def test_scale_search_finds_noise_level(spark):
     ok = best["e_for_spread_1"].notna()
     assert ok.any()
     assert (best["e_10pct_above_min"].notna()).any()
+
+
+def test_points_are_gathered_before_their_sums(spark):
+    data = frame(spark, part(sine(), -0.5), part(sine(), 0.5))
+    for rows in (normal_equations(data, SPEC), fit_once(data, SPEC), design_rows(data, SPEC)):
+        plan = rows._jdf.queryExecution().toString()
+        assert "REBALANCE_PARTITIONS_BY_COL" in plan
+        # pairs are summed in their tile, not shuffled one by one
+        assert " b#" not in "".join(p for p in plan.splitlines() if "Exchange hashpartitioning" in p)
+
+
+def test_passes_do_not_carry_columns_they_do_not_need(spark, monkeypatch):
+    from icegrid.fit import robust
+
+    held, cut = [], robust.cut_lineage
+    monkeypatch.setattr(robust, "cut_lineage", lambda df: (held.append(df.columns), cut(df))[1])
+    z = sine()
+    z[[20, 50]] += 300
+    data = frame(spark, part(z, -0.5, payload="p"), part(sine(), 0.5, payload="q"))
+    fit = robust_fit(data.withColumn("nothing", F.lit(None)), SPEC)
+    assert held and not any("payload" in columns for columns in held)
+    out = fit["data"]
+    assert set(out.columns) == {*data.columns, "nothing", "three_sigma_edit", "z_est"}
+    off = out.where("not three_sigma_edit").toPandas()
+    assert sorted(off["x"]) == [X[20], X[50]] and set(off["payload"]) == {"p"}
+    # the flags returned are those that the last solution was made with
+    again = fit_once(out.where("three_sigma_edit"), SPEC)
+    a, b = (t.where("node >= 0").toPandas().set_index("node")["v"] for t in (again, fit["solution"]))
+    assert np.abs(a - b).max() < 1e-6
