@@ -44,8 +44,6 @@ GATES = {"email": r"@|[(\[]at[)\]]", "ip": r"[0-9][.-][0-9]", "card": r"[0-9][0-
 WORDS = {"email": r"(?i)e-?mail|contact|write|@", "ip": r"(?i)\bip\b|host|server|addr",
          "card": r"(?i)card|visa|master|credit|pay", "phone": r"(?i)tel|phone|call|fax|mobil"}
 CONTEXT = 24
-# Texts that the trees are fitted on, about; chosen by a hash of the text.
-FIT_DOCUMENTS = 40_000
 TREES = 24
 RATE = 0.3
 # Share of right spans, and least number of them, that a threshold must show on held-out texts.
@@ -251,21 +249,17 @@ def grow(x: np.ndarray, right: np.ndarray, wrong: np.ndarray, trees: int = TREES
     return out, bias
 
 
-def fit(docs: DataFrame, text_col: str = "text", documents: int = FIT_DOCUMENTS) -> Trees:
+def fit(docs: DataFrame, text_col: str = "text") -> Trees:
     """Trees fitted on the texts themselves: a proposal is right if a base match overlaps it.
 
     Base matches stand for all of their kind: what makes them base is hidden from the features
     (see proposals), so forms that no base pattern takes score like the base spans they resemble.
-    About documents texts are used, chosen by hash; half of them grow the trees, the others set
-    each kind's threshold: the least score from which on PRECISION of the proposals are right. A
-    kind without such a score adds no spans. Runs jobs.
+    All texts are used; by a hash, half of them grow the trees, the others set each kind's
+    threshold: the least score from which on PRECISION of the proposals are right. A kind without
+    such a score adds no spans. Runs a job.
     """
     texts = docs.select(F.col(text_col).alias("text")).where("text is not null")
     texts = texts.withColumn("h", F.xxhash64("text", F.lit(41)))
-    total = texts.count()
-    if total > documents:
-        share = int(documents / total * (1 << 32))
-        texts = texts.where(F.pmod("h", F.lit(1 << 32)) < share)
     gate = F.lit(False)
     for kind in KINDS:
         gate = gate | F.col("text").rlike(GATES[kind])

@@ -390,6 +390,16 @@ PII = ["a.b@c.d_e@f.g x@@y.z a@b", "1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.4 1.2.3",
        "1" * 4000, "+" * 300 + "1 2 3 4 5 6 7 8", LONG, " ".join(["q@r.st 10.1.1.1"] * 300)]
 
 
+def test_pii_fit_uses_every_text(spark, monkeypatch):
+    seen, grow = [], pii.grow
+    monkeypatch.setattr(pii, "grow", lambda x, right, wrong, **kw: (
+        seen.append(right.sum() + wrong.sum()), grow(x, right, wrong, **kw))[1])
+    docs = spark.range(45_000).select(F.concat(F.lit("write to a"), "id", F.lit("@b.org")).alias("text"))
+    pii.fit(docs)
+    h = F.shiftrightunsigned(F.xxhash64("text", F.lit(41)), 40) % 2
+    assert seen == [docs.where(h == 0).count()]
+
+
 def brute_pii(t):
     t = t or ""
 
