@@ -43,6 +43,20 @@ def test_tiles_are_replaced_one_by_one(spark, tmp_path):
     assert fits.read_fit(spark, path, "z0", (4e4, 0.0)).count() == 1
 
 
+def test_tiles_share_folders(spark, tmp_path):
+    path = str(tmp_path / "fits")
+    cells = spark.range(100).select(
+        (F.floor(F.col("id") / 10) * 4e4).alias("x0"), (F.col("id") % 10 * 4e4).alias("y0"), F.col("id").alias("ix"))
+    fits.write_fit({"z0": cells}, path)
+    assert sum(1 for _ in (tmp_path / "fits" / "z0").rglob("*.parquet")) == 1
+    assert [r.ix for r in fits.read_fit(spark, path, "z0", (12e4, 8e4)).collect()] == [32]
+    plan = fits.read_fit(spark, path, "z0", (12e4, 8e4))._jdf.queryExecution().executedPlan().toString()
+    assert "x_block#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    fits.write_fit({"z0": cells.where("ix in (0, 32)").withColumn("ix", -F.col("ix") - 1)}, path)
+    got = sorted(r.ix for r in fits.read_fit(spark, path, "z0").collect())
+    assert got == [-33, -1, *[i for i in range(100) if i not in (0, 32)]]
+
+
 def test_errors_are_added_and_updated(spark, tmp_path):
     path = str(tmp_path / "fits")
     cells = spark.createDataFrame([(0.0, 0.0, i, float(i)) for i in range(4)], "x0 double, y0 double, ix int, s double")
