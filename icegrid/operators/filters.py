@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from icegrid.functions import parent_tile
 from icegrid.operators.interp import interp2
-from icegrid.operators.skew import attach, group_median, keep, leave
+from icegrid.operators.skew import group_median, keep, leave, with_group_median
 
 # Known bad (track, cycle) pairs; the second counts only where the mean
 # position of the tile's points lies within near_dist of the named place on both axes.
@@ -78,10 +78,10 @@ def dem_block_edit(
         "_r": r,
     })
     keys = list(dict.fromkeys([*tile, "_bi", "_bj"]))
-    med = group_median(cells, keys, F.col("_r"), "_med")
+    cells = with_group_median(cells, keys, F.col("_r"), "_med")
     near = F.coalesce(F.abs(F.col("_r") - F.col("_med")) < tol, F.lit(False))
     flag = F.col("three_sigma_edit") & near if "three_sigma_edit" in df.columns else near
-    return attach(cells, med, keys).withColumn("three_sigma_edit", flag).drop(
+    return cells.withColumn("three_sigma_edit", flag).drop(
         "_bi", "_bj", "_r", "_med"
     )
 

@@ -16,6 +16,8 @@ GROUP_ROWS = 1 << 20
 SPLITTERS = 256
 # Most keys of large groups that are broadcast; beyond it they are joined like any table.
 BROADCAST_KEYS = 100_000
+# Hash values by which rows are counted to find out whether any key is crowded.
+BUCKETS = 1 << 16
 
 
 def same_key(left: str, right: str, keys: list[str]) -> Column:
@@ -51,6 +53,32 @@ def leave(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return df.alias("l").join(table.select(*keys).alias("r"), cond, "left_anti")
 
 
+def _bucket(keys: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+
+
+def crowded_buckets(df: DataFrame, keys: list[str], most: int) -> list[int]:
+    """Buckets of keys with over most rows; if there is none, no key has so many.
+
+    Runs one job that shuffles a bounded number of counts for each task, however many keys there are.
+    """
+    counts = df.groupBy(_bucket(keys).alias("_b")).agg(F.count("*").alias("_n"))
+    return [r["_b"] for r in counts.where(F.col("_n") > most).select("_b").collect()]
+
+
+def with_group_median(
+    df: DataFrame, keys: list[str], value: Column, name: str, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """The rows with the exact median of their group; runs a job that counts.
+
+    Unless a group is crowded the rows are shuffled once, and each group gets its median where it lies.
+    """
+    if crowded_buckets(df, keys, group_rows):
+        return attach(df, group_median(df, keys, value, name, group_rows=group_rows), keys)
+    middle = F.percentile(value.cast("double"), 0.5).over(Window.partitionBy(*keys))
+    return df.withColumn(name, middle)
+
+
 def group_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -60,20 +88,25 @@ def group_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group; one row per group with any value.
 
-    Runs one job, that counts the groups. Those up to group_rows go through the built-in
-    aggregate. Larger ones, at most rows / group_rows, are narrowed to the values around the
+    Runs one job, that counts rows by hashed group. Groups up to group_rows are brought together
+    and go through the built-in aggregate: states of it would take more room than the values. Larger ones, at most rows / group_rows, are narrowed to the values around the
     wanted rank, twice by a factor of about SPLITTERS, before anything is sorted. Their keys
     are broadcast if they count few.
     """
     vals = df.select(*keys, value.cast("double").alias("_v")).where("_v is not null")
     exact = [F.percentile("_v", p).alias(name) for name, p in probs.items()]
-    hot = vals.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group_rows)
-    if hot.isEmpty():
-        return vals.groupBy(*keys).agg(*exact)
+    together = lambda rows: rows.repartition(*keys) if keys else rows
+    full = crowded_buckets(vals, keys, group_rows) if keys else [0]
+    if not full:
+        return together(vals).groupBy(*keys).agg(*exact)
+    some = vals.where(_bucket(keys).isin(full)) if keys else vals
+    hot = some.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > group_rows)
     hot = cut_lineage(hot)
+    if hot.isEmpty():
+        return together(vals).groupBy(*keys).agg(*exact)
     if hot.count() <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
-    few = leave(vals, hot, keys).groupBy(*keys).agg(*exact)
+    few = together(leave(vals, hot, keys)).groupBy(*keys).agg(*exact)
     many = attach(vals, hot, keys, "inner")
     picked = None
     for name, p in probs.items():
