@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from icegrid.operators.skew import attach
+from icegrid.operators.skew import GROUP_ROWS, attach, crowded_buckets
+from icegrid.session import stored
 
 # Lags in epochs of quarterly and of monthly products, and the first year.
 QUARTER_LAGS = (1, 4, 8, 12, 16, 20, 24)
@@ -149,9 +150,17 @@ def _along(
 ) -> DataFrame:
     """Adds s, the distance along the track, and _to, the distance and fields of the next point.
 
-    Points are ordered within blocks of consecutive order numbers. What blocks hand on is one
-    row each: their first and last point and inner length.
+    Unless a track is crowded, its points are ordered in one task. Else they are ordered within
+    blocks of consecutive order numbers, and what blocks hand on is one row each: their first and
+    last point and inner length. The points are stored to count them first. Runs jobs.
     """
+    points = stored(points, "track")
+    if not crowded_buckets(points, track, GROUP_ROWS):
+        line = Window.partitionBy(*track).orderBy(order)
+        dx, dy = F.col("x") - F.lag("x").over(line), F.col("y") - F.lag("y").over(line)
+        rows = points.withColumn("_step", F.coalesce(F.sqrt(dx * dx + dy * dy), F.lit(0.0)))
+        rows = rows.withColumn("s", F.sum("_step").over(line.rowsBetween(Window.unboundedPreceding, 0)))
+        return rows.withColumn("_to", F.lead(F.struct("s", *fields)).over(line)).drop("_step")
     keys = [*track, "_block"]
     line = Window.partitionBy(*keys).orderBy(order)
     dx, dy = F.col("x") - F.lag("x").over(line), F.col("y") - F.lag("y").over(line)
