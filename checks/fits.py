@@ -20,7 +20,7 @@ from icegrid.operators import components
 from icegrid.operators.tiles import neighbour_tiles
 from icegrid.plans import region
 from icegrid.plans.prepare import PointRules
-from icegrid.session import scratch_dir
+from icegrid.session import scratch_dir, stored
 from icegrid.sources.fits import read_fit
 
 SPEC = FitSpec(
@@ -217,9 +217,9 @@ from sol2 where node < 49"""))
 def matched_fit(spark, d):
     """Fit again with the edges held near the neighbours' first solutions."""
     p = tpts(spark, d)
-    rows = system_rows(p, FIRM)
-    tables = solution_tables(fit_once(p, FIRM), FIRM)
-    errors = fit_errors(rows, FIRM, lags=())
+    rows = stored(system_rows(p, FIRM), "sums")
+    tables = solution_tables(stored(fit_once(p, FIRM, cells=rows), "first"), FIRM)
+    errors = stored(fit_errors(rows, FIRM, lags=()), "errors")
     s0 = errors.where("field = 'z0'").select("x0", "y0", "i", "j", F.col("sigma").alias("sigma_z0"))
     s1 = errors.where("field = 'dz' and lag = 0").select(
         "x0", "y0", "i", "j", "it", F.col("sigma").alias("sigma_dz"))
@@ -229,7 +229,7 @@ def matched_fit(spark, d):
     }
     near = neighbour_tiles(p.select("x0", "y0").distinct(), 4e4)
     priors = edge_priors(near, first, FIRM, 4e4, include=1000.0, sigma_scale=2.0)
-    return rounded(solution_tables(fit_once(p, FIRM, priors=priors), FIRM)["z0"], 3)
+    return rounded(solution_tables(fit_once(p, FIRM, priors=priors, cells=rows), FIRM)["z0"], 3)
 
 
 @query("scale_search", "FIT-12 WIN-5 WIN-6")
