@@ -446,3 +446,51 @@ def test_passes_do_not_carry_columns_they_do_not_need(spark, monkeypatch):
     again = fit_once(out.where("three_sigma_edit"), SPEC)
     a, b = (t.where("node >= 0").toPandas().set_index("node")["v"] for t in (again, fit["solution"]))
     assert np.abs(a - b).max() < 1e-6
+
+
+def exchanges(df):
+    """Shuffles that a plan makes."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_sums_stay_where_the_points_of_a_tile_lie(spark):
+    from icegrid.fit import solve
+
+    data = frame(spark, part(sine(), -0.5), part(sine(), 0.5))
+    factors = data.select("x0", "y0").distinct().select(
+        "x0", "y0", F.lit(0).cast("long").alias("node"), F.lit(2.0).alias("factor"))
+    assert exchanges(fit_once(data, SPEC)) == 1
+    whole = fit_once(data, SPEC, factors=factors)
+    assert "CoGroup" in whole._jdf.queryExecution().executedPlan().toString()
+    split = solve.solve_tiles(system_rows(data, SPEC, factors=factors, cells=system_rows(data, SPEC)), SPEC)
+    a, b = (t.toPandas().set_index("node")["v"].sort_index() for t in (whole, split))
+    assert np.abs(a - b).max() < 1e-9
+
+
+def test_a_crowded_tile_is_summed_by_several_tasks(spark, monkeypatch):
+    from icegrid.fit import design
+
+    data = frame(spark, part(sine(), -0.5), part(sine(), 0.5))
+    whole = fit_once(data, SPEC).toPandas().set_index("node")["v"].sort_index()
+    monkeypatch.setattr(design, "CROWDED", 5)
+    split = fit_once(data, SPEC)
+    assert exchanges(split) == 3
+    assert np.abs(whole - split.toPandas().set_index("node")["v"].sort_index()).max() < 1e-9
+
+
+def test_a_solution_is_read_once(spark):
+    data = frame(spark, part(sine(), -0.5), part(sine(), 0.5))
+    plan = solution_tables(fit_once(data, SPEC), SPEC)["dz"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 1
+
+
+def test_errors_are_made_once_to_be_spread(spark):
+    from icegrid.fit.errors import upsample_errors
+
+    coarse = spark.createDataFrame(
+        [(0.0, 0.0, i, j, float(i + j + 1)) for i in range(3) for j in range(3)],
+        "x0 double, y0 double, i int, j int, sigma double")
+    dear = coarse.mapInPandas(lambda parts: parts, coarse.schema)
+    fine = upsample_errors(dear, ["x0", "y0"], 2)
+    assert "MapInPandas" not in fine._jdf.queryExecution().executedPlan().toString()
+    assert fine.count() == 25

@@ -418,3 +418,27 @@ def test_all_steps_of_preparation_run(spark, sf_dir):
     out = prepare_points(pts(spark, sf_dir), rules, edit_list(spark), mask, 1e4)
     row = out.agg(F.count("*"), F.count("floating"), F.count("editable"), F.count("three_sigma_edit")).first()
     assert row[0] > 0 and len(set(row)) == 1
+
+
+def test_medians_are_found_where_rows_lie(spark):
+    df = spark.range(300).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("k"), F.col("id"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") * 37 % 101).cast("double")).alias("v"))
+    plain = skew.with_group_median(df, ["k"], F.col("v"), "m")
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    split = skew.with_group_median(df, ["k"], F.col("v"), "m", group_rows=20)
+    assert rows(plain, "id") == rows(split, "id")
+    values = skew.group_median(df, ["k"], F.col("v"), "m")
+    assert "REPARTITION_BY_COL" in values._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tracks_are_ordered_whole_unless_crowded(spark, monkeypatch):
+    df = spark.range(200).select(
+        (F.col("id") % 3).alias("t"), (F.col("id") * 100).alias("k"), (F.col("id") * 30.0).alias("x"),
+        F.lit(0.0).alias("y"), (F.col("id") * 2.0).alias("v"))
+    plain = ordered.resample_track(df, ["t"], "k", ["x", "v"], 100.0, block=32)
+    assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    monkeypatch.setattr(ordered, "GROUP_ROWS", 5)
+    split = ordered.resample_track(df, ["t"], "k", ["x", "v"], 100.0, block=32)
+    a, b = (f.orderBy("t", "k").toPandas() for f in (plain, split))
+    assert len(a) == len(b) > 100 and np.allclose(a, b)

@@ -107,3 +107,8 @@ def test_lineage_is_cut_in_the_shared_folder(spark, tmp_path):
     df = cut_lineage(spark.range(10).where("id > 3"))
     assert df.count() == 6
     assert shared in spark.sparkContext.getCheckpointDir()
+
+
+def test_parts_are_dealt_by_a_shuffle(spark):
+    # one task must not run many parts of a join one after the other
+    assert cut_lineage(spark.range(0, 10, 1, 2), 5).rdd.getNumPartitions() == 5
