@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from icegrid.fit.design import TILE, FitSpec
-from icegrid.fit.robust import robust_fit
-from icegrid.operators.aggregate import robust_spread
+from icegrid.fit.design import FitSpec
+from icegrid.fit.solve import TileSystem
 from icegrid.operators.ordered import interp_at, track_segments
-from icegrid.operators.skew import attach, keep, number_rows
-from icegrid.session import cut_lineage
+from icegrid.operators.skew import attach
+from icegrid.session import by_group
 
 # Factors tried, expected curvature, gap length, node spacing and strip width.
 SCALES = (0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0)
@@ -63,6 +63,84 @@ def segment_members(points: DataFrame, width: float, min_fill: float) -> DataFra
     return member.join(chosen, [*TRACK, "seg", "cycle"])
 
 
+def strip_limits(spec: FitSpec) -> tuple[np.ndarray, np.ndarray, float]:
+    """The constraints of a strip whose two rows of nodes are equal and that does not change.
+
+    Returns their part of the system of the row, the diagonal of the whole system at the nodes of
+    a row, and its largest entry at the other nodes, which no point or factor of a strip touches.
+    """
+    bare = TileSystem(pd.DataFrame({"a": [], "b": [], "v": []}, dtype=float), spec)
+    n = spec.shape(spec.z0_spacing)[0]
+    rough = np.zeros((n, n))
+    for index, c in bare.blocks:
+        rows = np.zeros((len(index), n))
+        np.add.at(rows, (np.arange(len(index))[:, None], index % n), c * (index < spec.n_z0))
+        rough += rows.T @ rows
+    own = bare.diagonal() - bare.ridge
+    return rough, own[:n], own[spec.n_z0:].max()
+
+
+def strip_fits(
+    place: np.ndarray, z: np.ndarray, sigma: np.ndarray, factors: np.ndarray, spec: FitSpec, limits,
+    max_iterations: int, converged: float = 0.001,
+) -> tuple[np.ndarray, np.ndarray]:
+    """The robust fit (as robust_fit) of the points of one strip, once for each factor on its limits.
+
+    place is along the strip, from its middle. Returns, with one row per factor, the scaled
+    residuals of the last fit and the points it was made with. Factors that are done are not
+    fitted again.
+    """
+    rough, own, other = limits
+    n = len(rough)
+    at = (place + spec.width / 2) / spec.z0_spacing
+    # the far edge belongs to the last cell
+    low = np.minimum(np.floor(at), n - 2).astype(int)
+    design = np.zeros((len(at), n))
+    rows = np.arange(len(at))
+    design[rows, low], design[rows, low + 1] = 1 - (at - low), at - low
+    soft = 1 / factors**2
+    used = np.ones((len(factors), len(at)), bool)
+    rs = np.zeros(used.shape)
+    going = np.arange(len(factors))
+    for step in range(max_iterations):
+        w = used[going] / sigma**2
+        system = (design.T * w[:, None, :]) @ design
+        spot = np.arange(n)
+        # a point lies halfway between the two rows; the ridge is that of TileSystem
+        largest = (system[:, spot, spot] / 4 + own * soft[going, None]).max(1)
+        ridge = 1e-12 * np.maximum(largest, other)
+        system += rough * soft[going, None, None]
+        system[:, spot, spot] += 2 * ridge[:, None]
+        g = (w * z) @ design
+        m = np.zeros(g.shape)
+        known = g.any(1)
+        if known.any():
+            m[known] = np.linalg.solve(system[known], g[known, :, None])[:, :, 0]
+        rs[going] = (z - m @ design.T) / sigma
+        if step == max_iterations - 1:
+            break
+        still = []
+        for k in going:
+            good = np.abs(rs[k]) < 3 * max(half_spread(rs[k][used[k]]), 1.0)
+            if (good != used[k]).mean() >= converged:
+                used[k] = good
+                still.append(k)
+        going = np.array(still, int)
+        if not still:
+            break
+    return rs, used
+
+
+def half_spread(v: np.ndarray) -> float:
+    """As robust_spread: half the distance between the 16th and 84th percentile, 0 of nothing."""
+    low, high = np.percentile(v, [16, 84]) if len(v) else (0.0, 0.0)
+    return (high - low) / 2
+
+
+CURVE = ("rgt {rgt}, pair {pair}, seg {seg}, pt0 {pt0}, scale double, expected double, spread double, "
+         "n int, kept double, mean_x double, mean_y double, mean_z double")
+
+
 def l_curve(
     points: DataFrame, width: float, scales: tuple[float, ...] = SCALES, min_fill: float = 0.9,
     max_iterations: int = 5,
@@ -75,43 +153,38 @@ def l_curve(
     residuals of the points kept, their number n, the share kept, and the mean x, y and z of the
     segment (NULL without x and y).
 
-    Every pair of segment and factor is a tile of the robust fit, the factor one on the limits of
-    its constraints; so all are edited and solved together. Points must lie within 1.5 widths of
-    the middle of their segment, or the query fails. Runs jobs.
+    The points of a segment come to one task, where all factors are fitted and edited together,
+    so nothing is shuffled between passes and no point once for each factor. Points must lie within 1.5 widths of
+    the middle of their segment, or the query fails.
     """
     member = segment_members(points, width, min_fill)
-    mid = (F.min("x_atc") + F.max("x_atc")) / 2
-    where = {c: F.avg(c) if c in member.columns else F.lit(None).cast("double") for c in ("x", "y")}
-    places = member.groupBy(*PLACE).agg(
-        mid.alias("_mid"), F.avg("z").alias("mean_z"),
-        *[v.alias(f"mean_{c}") for c, v in where.items()])
-    places = number_rows(places, PLACE, "_n")
+    for c in ("x", "y"):
+        if c not in member.columns:
+            member = member.withColumn(c, F.lit(None).cast("double"))
     spec = strip_spec(3 * width + 4 * SPACING)
-    # tiles lie side by side: segments along x, factors along y
-    step = 2 * spec.width
-    rows = attach(member.drop("x", "y"), places.select(*PLACE, "_mid", "_n"), PLACE, "inner")
-    off = F.col("x_atc") - F.col("_mid")
-    far = F.raise_error(F.lit("a point lies outside its segment")).cast("double")
-    off = F.when(F.abs(off) <= spec.width / 2, off).otherwise(far)
-    factor = F.posexplode(F.array(*[F.lit(float(k)) for k in scales])).alias("_k", "scale")
-    data = rows.select("z", "sigma", F.lit(0.0).alias("time"), (F.col("_n") * step).alias("x0"),
-                       off.alias("_off"), factor)
-    data = data.select("z", "sigma", "time", "x0", (F.col("_k") * step).alias("y0"), "scale",
-                       (F.col("x0") + F.col("_off")).alias("x")).withColumn("y", F.col("y0"))
-    tiles = data.groupBy(*TILE).agg(F.first("scale").alias("factor"), F.count("*").alias("_all"))
-    tiles = cut_lineage(tiles.where(F.col("_all") >= FEWEST))
-    nodes = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spec.n_z0 - 1).cast("long")))
-    factors = tiles.select(*TILE, nodes.alias("node"), "factor")
-    fit = robust_fit(keep(data.drop("scale"), tiles, TILE), spec, max_iterations, factors=factors)
-    used = fit["data"].where("three_sigma_edit").withColumn(
-        "_rs", (F.col("z") - F.col("z_est")) / F.col("sigma"))
-    found = attach(tiles, robust_spread(used, TILE, F.col("_rs"), "spread"), TILE)
-    found = attach(found, used.groupBy(*TILE).agg(F.count("*").cast("int").alias("n")), TILE)
-    found = found.withColumn("_n", F.rint(F.col("x0") / step).cast("long"))
-    out = attach(found, places.drop("_mid"), ["_n"], "inner")
-    return out.select(
-        *PLACE, F.col("factor").alias("scale"), (F.lit(E_CURVATURE) * F.col("factor")).alias("expected"),
-        "spread", "n", (F.col("n") / F.col("_all")).alias("kept"), "mean_x", "mean_y", "mean_z")
+    limits = strip_limits(spec)
+    factors = np.array([float(k) for k in scales])
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        x, z, sigma = (pdf[c].to_numpy(float) for c in ("x_atc", "z", "sigma"))
+        off = x - (x.min() + x.max()) / 2
+        if not (np.abs(off) <= spec.width / 2).all():
+            raise ValueError("a point lies outside its segment")
+        tried = factors if len(z) >= FEWEST else factors[:0]
+        rs, used = strip_fits(off, z, sigma, tried, spec, limits, max_iterations)
+        n = used.sum(1)
+        spread = [half_spread(r[u]) if u.any() else None for r, u in zip(rs, used)]
+        head = dict(zip(PLACE, key))
+        mean = {f"mean_{c}": pdf[c].to_numpy(float) for c in ("x", "y", "z")}
+        mean = {c: v[~np.isnan(v)].mean() if not np.isnan(v).all() else None for c, v in mean.items()}
+        out = pd.DataFrame({"scale": tried, "expected": E_CURVATURE * tried,
+                            "spread": pd.Series(spread, dtype=float),
+                            "n": pd.Series(n).where(n > 0).astype("Int32"),
+                            "kept": pd.Series(n / max(len(z), 1)).where(n > 0)})
+        return out.assign(**head, **mean)[[*PLACE, *out.columns, *mean]]
+
+    member = by_group(member.select(*PLACE, "x_atc", "z", "sigma", "x", "y"), PLACE)
+    return member.groupBy(*PLACE).applyInPandas(one, CURVE.format(**dict(member.dtypes)))
 
 
 def best_scale(curve: DataFrame) -> DataFrame:

@@ -354,6 +354,42 @@ def test_scale_search_equals_plain_profiles(spark):
         assert c["mean_x"] == pytest.approx(m["x"].mean()) and c["mean_y"] == pytest.approx(m["y"].mean())
 
 
+def test_scale_search_fits_segments_where_their_points_lie(spark):
+    ref = np.arange(0, 400)
+    pdf = pd.DataFrame({"rgt": 1, "pair": 1, "ref_pt": ref, "cycle": 3, "x_atc": ref * 20.0,
+                        "z": np.sin(ref / 9.0), "sigma": 0.2})
+    plan = l_curve(spark.createDataFrame(pdf), 2000.0)._jdf.queryExecution().executedPlan().toString()
+    # no pass is a job of its own, no point is shuffled once for each factor, no tiles are numbered
+    assert plan.count("FlatMapGroupsInPandas") == 1
+    assert "posexplode" not in plan and "ExistingRDD" not in plan.replace("Scan ExistingRDD[rgt", "")
+
+
+def test_strip_fits_equal_the_robust_fit_of_a_strip(spark):
+    rng = np.random.default_rng(21)
+    n, tried = 90, np.array([0.01, 1.0, 300.0])
+    spec = scales.strip_spec(2000.0)
+    place, sigma = np.sort(rng.uniform(-1000, 1000, n)), rng.choice([0.1, 0.3], n)
+    z = 5 * np.sin(place / 300) + sigma * rng.standard_normal(n)
+    z[::13] += 40
+    step = 2 * spec.width
+    data = pd.concat([pd.DataFrame({"x0": 0.0, "y0": k * step, "x": place, "y": k * step, "time": 0.0,
+                                    "z": z, "sigma": sigma, "p": range(n)}) for k in range(len(tried))])
+    factors = spark.createDataFrame(
+        [(0.0, k * step, i, float(f)) for k, f in enumerate(tried) for i in range(spec.n_z0)],
+        "x0 double, y0 double, node long, factor double")
+    fit = robust_fit(spark.createDataFrame(data), spec, 5, factors=factors)["data"].toPandas()
+    rs, used = scales.strip_fits(place, z, sigma, tried, spec, scales.strip_limits(spec), 5)
+    assert 0 < used.sum() < used.size
+    for k in range(len(tried)):
+        one = fit[fit["y0"] == k * step].sort_values("p")
+        assert (one["three_sigma_edit"].to_numpy() == used[k]).all()
+        assert np.abs((one["z"] - one["z_est"]) / one["sigma"] - rs[k]).max() < 1e-4
+    # one more pass starts from no points: a fit of nothing is zero
+    lost = scales.strip_fits(place[:10], np.full(10, 9.0), np.full(10, 0.1), tried, spec,
+                             scales.strip_limits(spec), 5)
+    assert np.abs(lost[0]).max() < 1e-2
+
+
 def test_nested_lattices_solve_as_the_direct_solver(spark, monkeypatch):
     rng = np.random.default_rng(3)
     spec = FitSpec(width=4e3, z0_spacing=100, dz_spacing=500, dt=0.5, t_start=2019.0, n_epochs=5,
