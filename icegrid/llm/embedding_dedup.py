@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icegrid.llm.graph import components
-from icegrid.operators.skew import attach
-from icegrid.session import by_group, cut_lineage
+from icegrid.operators.skew import BROADCAST_KEYS, attach
+from icegrid.session import by_group, cut_lineage, stored
 
 # Vectors that the centres are fitted on, about, and passes over them.
 FIT_VECTORS = 20_000
@@ -26,8 +26,10 @@ ROUNDS = 10
 # Vectors per cell aimed at, and the most cells.
 CELL_ROWS = 8192
 CELLS = 1024
-# Largest side of a block of products.
-BLOCK = 2048
+# Largest side of a block of products, in bytes of its vectors in double precision.
+BLOCK_BYTES = 1 << 24
+# Bytes of vectors that are dealt to blocks at once: so many, or as many as all vectors have twice.
+ROUND_BYTES = 1 << 30
 
 
 def usable(vector: Column) -> Column:
@@ -89,7 +91,7 @@ def _fitted(nodes: DataFrame, threshold: float) -> dict[int, np.ndarray]:
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
                  vector_col: str = "embedding", label_col: str = "label",
-                 block: int = BLOCK) -> DataFrame:
+                 block: int | None = None) -> DataFrame:
     """Links and component of each vector; rows are compared within a label and a length.
 
     Returns one row per row: id_col, n_links (other rows with cosine >= threshold, in double
@@ -100,8 +102,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     has another. Columns other than the three are not read. Runs jobs.
 
     A large cell is cut into blocks by hash, and each pair of blocks is one group, so no group
-    has more than about 2 x block rows. A group reports counts and the components it sees, not
-    its pairs. All links are found (see above).
+    has more than about 2 x block rows (by default those of BLOCK_BYTES). A group reports counts
+    and the components it sees, not its pairs. All links are found (see above).
+    A vector goes to every pair of blocks it is in. The pairs are dealt out in rounds, each of which
+    shuffles a bounded number of copies that are gone before the next, however many pairs there are.
     """
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"),
                           F.col(label_col).alias("label"))
@@ -109,15 +113,20 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     rows = rows.withColumn("node", F.when(good, F.xxhash64("label", "vector")))
     nodes = rows.where("node is not null").groupBy("node", "label").agg(
         F.count("*").alias("copies"), F.first("vector").alias("vector"))
-    nodes = cut_lineage(nodes.withColumn("dim", F.size("vector")))
+    nodes = stored(nodes.withColumn("dim", F.size("vector")), "vectors")
     centres = _fitted(nodes, threshold)
-    placed = cut_lineage(nodes.select("node", "label", "dim", "copies", "vector",
-                                      _assign(centres, threshold)("dim", "vector").alias("cells")))
+    placed = stored(nodes.select("node", "label", "dim", "copies", "vector",
+                                 _assign(centres, threshold)("dim", "vector").alias("cells")), "cells")
     spread = placed.select("*", F.posexplode("cells").alias("order", "cell")).drop("cells")
     spread = spread.withColumn("home", F.col("order") == 0).drop("order")
     keys = ["label", "dim", "cell"]
-    counts = spread.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    units = attach(spread, counts, keys, "inner")
+    most = F.greatest(F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("dim"))), F.lit(256)) if block is None else F.lit(block)
+    counts = spread.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.count(F.when(F.col("home"), 1)).alias("at_home"))
+    counts = cut_lineage(counts.withColumn("blocks", F.ceil(F.col("n") / most).cast("int")))
+    rounds = _rounds(counts)
+    sizes = counts.select(*keys, "blocks")
+    units = attach(spread, F.broadcast(sizes) if counts.count() <= BROADCAST_KEYS else sizes, keys, "inner")
     own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
     units = units.withColumn("own", own)
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -126,11 +135,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     asks = F.transform(F.filter(every, lambda i: i != F.col("own")),
                        lambda i: F.struct(F.col("own").alias("h"), i.alias("p")))
     part = F.when(F.col("home"), F.concat(seen, asks)).otherwise(seen)
-    units = units.withColumn("unit", F.explode(part))
-    units = units.select(*keys, "unit.h", "unit.p", "own", "home", "node", "copies", "vector")
-    found = by_group(units, [*keys, "h", "p"]).groupBy(*keys, "h", "p").applyInPandas(
-        _comparer(threshold), "node long, links long, root long")
-    found = cut_lineage(found)
+    found = None
+    for k in range(rounds):
+        now = lambda u: F.pmod(F.xxhash64(*keys, u["h"], u["p"], F.lit(11)), F.lit(rounds)) == k  # noqa: E731, B023
+        dealt = units.withColumn("unit", F.explode(part if rounds == 1 else F.filter(part, now)))
+        dealt = dealt.select(*keys, "unit.h", "unit.p", "own", "home", "node", "copies", "vector")
+        some = cut_lineage(by_group(dealt, [*keys, "h", "p"]).groupBy(*keys, "h", "p").applyInPandas(
+            _comparer(threshold), "node long, links long, root long"))
+        found = some if found is None else found.unionByName(some)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.where("node <> root").select(F.col("node").alias("u"),
                                                           F.col("root").alias("v")))
@@ -147,6 +159,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
                       .alias("kept"))
 
 
+def _rounds(counts: DataFrame) -> int:
+    """Rounds in which the copies of the vectors are dealt out, from the cells' counts."""
+    row, blocks = F.lit(4) * F.col("dim") + 64, F.col("blocks")
+    copies = F.col("at_home") * (2 * blocks - 1) + (F.col("n") - F.col("at_home")) * blocks
+    total, once = counts.agg(F.sum(copies * row), F.sum(F.col("at_home") * row)).first()
+    return max(1, math.ceil((total or 0) / max(ROUND_BYTES, 2 * (once or 0))))
+
+
 def _assign(centres: dict[int, np.ndarray], threshold: float):
     @F.pandas_udf("array<int>")
     def assign(dims: pd.Series, vectors: pd.Series) -> pd.Series:

@@ -228,6 +228,21 @@ def test_vectors(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_are_dealt_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(20, 16))
+    rows = [(k, (base[k % 20] + rng.normal(size=16) * 0.04).astype(np.float32).tolist(), 1) for k in range(160)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    once = sorted(map(tuple, embedding_dedup.near_vectors(df, block=40).collect()))
+    made = []
+    comparer = embedding_dedup._comparer
+    monkeypatch.setattr(embedding_dedup, "_comparer", lambda t: (made.append(t), comparer(t))[1])
+    # seven copies of each vector, and room for twice all vectors
+    monkeypatch.setattr(embedding_dedup, "ROUND_BYTES", 1)
+    assert sorted(map(tuple, embedding_dedup.near_vectors(df, block=40).collect())) == once
+    assert len(made) == 4 and max(r[1] for r in once) > 0
+
+
 def brute_vectors(rows):
     def unit(v):
         if not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):

@@ -112,3 +112,18 @@ def test_lineage_is_cut_in_the_shared_folder(spark, tmp_path):
 def test_parts_are_dealt_by_a_shuffle(spark):
     # one task must not run many parts of a join one after the other
     assert cut_lineage(spark.range(0, 10, 1, 2), 5).rdd.getNumPartitions() == 5
+
+
+def test_a_job_leaves_no_shuffle_behind(spark):
+    import time
+
+    # no task has less than its files, so an empty list means that they are gone
+    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {str(f) for f in store.getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+    before = shuffled()
+    cut_lineage(spark.range(1000).repartition(3, "id"))
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
