@@ -530,3 +530,44 @@ def test_errors_are_made_once_to_be_spread(spark):
     fine = upsample_errors(dear, ["x0", "y0"], 2)
     assert "MapInPandas" not in fine._jdf.queryExecution().executedPlan().toString()
     assert fine.count() == 25
+
+
+def test_passes_of_a_tile_are_made_where_its_points_lie(spark, monkeypatch):
+    from icegrid.fit import robust
+
+    rng = np.random.default_rng(8)
+    n = 300
+    spec = FitSpec(width=2e3, z0_spacing=500, dz_spacing=1000, dt=1.0, t_start=2019.0, n_epochs=3, ref_epoch=0,
+                   e_d2z0_dx2=1e-4, bias_params=("cycle",))
+    pdf = pd.DataFrame({"x0": np.repeat([0.0, 4e3, 8e3], n // 3), "y0": 0.0, "sigma": 0.1, "sigma_corr": 0.2,
+                        "cycle": rng.integers(0, 3, n), "time": 2019.0 + rng.uniform(0, 2, n)})
+    pdf["x"], pdf["y"] = pdf["x0"] + rng.uniform(-1e3, 1e3, n), rng.uniform(-1e3, 1e3, n)
+    pdf["z"] = np.sin(pdf["x"] / 500) + 0.1 * rng.standard_normal(n) + np.where(rng.random(n) < 0.1, 20, 0)
+    pdf["editable"] = rng.random(n) < 0.9
+    # a tile without heights, a point twice and one without a cycle's errors
+    pdf.loc[pdf["x0"] == 8e3, "z"] = np.nan
+    data = spark.createDataFrame(pd.concat([pdf, pdf[:1]], ignore_index=True)).replace(float("nan"), None)
+    factor = F.when(F.col("z0") < 0, 3.0).otherwise(1.0).alias("factor")
+    remade = lambda t: t["z0"].select("x0", "y0", (F.col("j") * 5 + F.col("i")).cast("long").alias("node"), factor)
+    kept = []
+    store = robust.stored
+    monkeypatch.setattr(robust, "stored", lambda df, name: (kept.append(name), store(df, name))[1])
+
+    def fit(**kw):
+        out = robust_fit(data, spec, 3, **kw)
+        rows = out["data"].toPandas().sort_values(["x0", "x", "y"]).reset_index(drop=True)
+        return rows, out["solution"].toPandas().sort_values(["x0", "node"]).reset_index(drop=True)
+
+    for how in ({}, {"update_mask": remade}):
+        kept.clear()
+        rows, nodes = fit(store=False, **how)
+        assert not kept and len(rows) == len(data.collect())
+        monkeypatch.setattr(robust, "HELD_POINTS", 10)
+        split, other = fit(store=False, **how)
+        monkeypatch.undo()
+        monkeypatch.setattr(robust, "stored", lambda df, name: (kept.append(name), store(df, name))[1])
+        assert (rows["three_sigma_edit"] == split["three_sigma_edit"]).all()
+        assert 0 < (~rows["three_sigma_edit"])[rows["x0"] < 8e3].sum() < n / 2
+        assert rows["z_est"].isna().equals(split["z_est"].isna())
+        assert (rows["z_est"] - split["z_est"]).abs().max() < 1e-6
+        assert (nodes["node"] == other["node"]).all() and (nodes["v"] - other["v"]).abs().max() < 1e-6
