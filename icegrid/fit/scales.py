@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from icegrid.fit.design import FitSpec
 from icegrid.fit.solve import TileSystem
 from icegrid.operators.ordered import interp_at, track_segments
-from icegrid.operators.skew import attach
-from icegrid.session import by_group
+from icegrid.operators.skew import TOLD_KEYS, attach
+from icegrid.session import by_group, cut_lineage, stored
 
 # Factors tried, expected curvature, gap length, node spacing and strip width.
 SCALES = (0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0, 30.0, 100.0, 300.0)
@@ -43,14 +43,21 @@ def strip_spec(length: float) -> FitSpec:
 
 
 def segment_members(points: DataFrame, width: float, min_fill: float) -> DataFrame:
-    """Points of the chosen cycle of each segment, one per reference point, under PLACE."""
+    """Points of the chosen cycle of each segment, one per reference point, under PLACE.
+
+    The averaged points and the chosen cycles are stored. Points meet the cycles before they are
+    moved, unless the segments are too many to be told to all tasks. Runs jobs.
+    """
     dn = int(np.ceil(width / 20))
     good = points.where("z is not null and sigma > 0")
     where = [c for c in ("x", "y") if c in points.columns]
     nodes = good.groupBy(*TRACK, "cycle", "ref_pt").agg(
         *[F.avg(c).alias(c) for c in ("x_atc", "z", "sigma", *where)]
     )
-    chosen = track_segments(nodes, dn, TRACK, min_fill).select(*PLACE, "cycle")
+    nodes = stored(nodes, "nodes")
+    chosen = cut_lineage(track_segments(nodes, dn, TRACK, min_fill).select(*PLACE, "cycle"))
+    if chosen.count() <= TOLD_KEYS:
+        chosen = F.broadcast(chosen)
     # members of a segment lie within 1.5 dn of its centre; those of the chosen cycle are fitted
     half = dn / 2
     first = nodes.groupBy(*TRACK).agg(F.min("ref_pt").alias("_p0"))

@@ -81,6 +81,7 @@ def track_segments(
     last; members are within 1.5 dn. Each (reference point, cycle) counts once, with its mean
     height. Segments whose fullest cycle has under min_fill * dn points are skipped; of the cycles
     within 5 of the fullest, the one with the smallest median along-track step is taken.
+    Unless a track has very many points in a cycle, these are brought to one task. Runs a job.
     """
     track = track or ["rgt", "pair"]
     node = points.groupBy(*track, "cycle", "ref_pt").agg(F.avg("z").alias("z"))
@@ -93,7 +94,11 @@ def track_segments(
     most = F.ceil((F.col("_p1") - F.col("_p0") - half) / half) - 1
     span = F.sequence(F.greatest(low, F.lit(0)).cast("int"), F.least(high, most).cast("int"))
     valid = F.greatest(low, F.lit(0)) <= F.least(high, most)
-    seg = attach(node.where("z is not null"), ends, track)
+    node = node.where("z is not null")
+    seg = attach(node, ends, track)
+    if not crowded_buckets(node, [*track, "cycle"], GROUP_ROWS):
+        # a point is moved once, not once for each of its segments
+        seg = seg.repartition(*track, "cycle")
     seg = seg.withColumn("seg", F.explode(F.when(valid, span)))
     seg = seg.withColumn("pt0", F.col("_p0") + half + F.col("seg") * half).drop("_p0", "_p1")
     keys = [*track, "seg", "pt0", "cycle"]

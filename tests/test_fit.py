@@ -364,6 +364,30 @@ def test_scale_search_fits_segments_where_their_points_lie(spark):
     assert "posexplode" not in plan and "ExistingRDD" not in plan.replace("Scan ExistingRDD[rgt", "")
 
 
+def test_points_are_moved_before_they_are_spread_to_segments(spark, monkeypatch):
+    from icegrid.operators import ordered
+
+    ref = np.arange(0, 400)
+    pdf = pd.concat([pd.DataFrame({"rgt": 1, "pair": 1, "ref_pt": ref, "cycle": c, "x_atc": ref * 20.0,
+                                   "z": np.sin(ref * c / 9.0), "sigma": 0.2}) for c in (1, 2)])
+    pdf.loc[pdf["ref_pt"] == 3, "z"] = np.nan
+    data = spark.createDataFrame(pdf).replace(float("nan"), None)
+    found = ordered.track_segments(data, 100)
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(k for k, line in enumerate(lines) if "Generate explode" in line)
+    over = [line for line in lines[:at] if "Exchange" in line]
+    # above the spread points are only the statistics of their segments
+    assert len(over) <= 2 and not any("cycle" in line for line in over)
+    member = scales.segment_members(data, 2000.0, 0.9)
+    plan = member._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    whole = [sorted(map(str, df.collect())) for df in (found, member)]
+    monkeypatch.setattr(ordered, "GROUP_ROWS", 5)
+    monkeypatch.setattr(scales, "TOLD_KEYS", 0)
+    split = (ordered.track_segments(data, 100), scales.segment_members(data, 2000.0, 0.9))
+    assert whole == [sorted(map(str, df.collect())) for df in split] and all(whole)
+
+
 def test_strip_fits_equal_the_robust_fit_of_a_strip(spark):
     rng = np.random.default_rng(21)
     n, tried = 90, np.array([0.01, 1.0, 300.0])
