@@ -578,7 +578,7 @@ def test_passes_of_a_tile_are_made_where_its_points_lie(spark, monkeypatch):
     monkeypatch.setattr(robust, "stored", lambda df, name: (kept.append(name), store(df, name))[1])
 
     def fit(**kw):
-        out = robust_fit(data, spec, 3, **kw)
+        out = robust_fit(data, spec, 4, **kw)
         rows = out["data"].toPandas().sort_values(["x0", "x", "y"]).reset_index(drop=True)
         return rows, out["solution"].toPandas().sort_values(["x0", "node"]).reset_index(drop=True)
 
